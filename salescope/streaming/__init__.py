@@ -1,0 +1,7 @@
+"""Streaming: nothing to build.
+
+The analysed workload is batch only: no stream, watermark, event-time window
+or late data appears in it.  Every analysis is a function of DataFrames, so
+it can also run inside ``foreachBatch`` of a Structured Streaming query if
+deals arrive as a stream; no stateful operator is needed for that.
+"""
