@@ -34,7 +34,7 @@ def product_numbering(model: CrmModel, strategy: str = "distributed") -> DataFra
     products = model.table("products").select("series", "product")
     if strategy == "window":
         w = Window.partitionBy("series").orderBy("product")
-        return products.withColumn("prodNO_by_series", F.row_number().over(w))
+        return products.withColumn("prodNO_by_series", F.row_number().over(w).cast("long"))
     return row_number_within(products, ["series"], [F.col("product").asc()], "prodNO_by_series")
 
 

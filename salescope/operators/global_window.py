@@ -21,6 +21,9 @@ products.  Here the order is computed in parallel:
 third of all rows costs one row per task), numbers the distinct values
 weighted by their counts, and joins the rank back on the value.  ``ntile``
 maps the global position to a tile with the total row count.
+
+Positions and ranks are ``bigint`` (a global order over billions of rows
+does not fit ``int``); tiles are ``int``.
 """
 
 from __future__ import annotations
@@ -41,40 +44,52 @@ _PART = "__part"
 _W = "__weight"
 
 
-def _positions(df: DataFrame, order: Sequence[Column], weight: str | None, partitions: int | None) -> DataFrame:
+def _positions(
+    df: DataFrame,
+    order: Sequence[Column],
+    weight: str | None,
+    partitions: int | None,
+    sums: Sequence[str] = (),
+) -> DataFrame:
     """``df`` plus ``__pos`` (inclusive running count, or running sum of
-    ``weight``, in the global ``order``) and ``__total`` (grand total)."""
+    ``weight``, in the global ``order``) and ``__total`` (grand total).
+
+    For each column ``c`` of ``sums`` also ``__rs_c`` (inclusive running sum of
+    ``c``, NULLs as 0) and ``__rn_c`` (running count of non-NULL ``c``).
+    """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = df.repartitionByRange(n, *order).withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True)
+    # Without an explicit count AQE may coalesce the range partitions; they stay
+    # contiguous slices of the order, which is all the numbering needs.
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    tagged = ranged.withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True)
 
     w = F.lit(1).cast("long") if weight is None else F.col(weight).cast("long")
-    per_part = tagged.groupBy(_PID).agg(F.sum(w).alias(_PART))
+    measures = {_PART: w}
+    for c in sums:
+        measures[f"__rs_{c}"] = F.coalesce(F.col(c), F.lit(0))
+        measures[f"__rn_{c}"] = F.col(c).isNotNull().cast("long")
+    per_part = tagged.groupBy(_PID).agg(*[F.sum(e).alias(n) for n, e in measures.items()])
     prefix = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = per_part.select(
         _PID,
-        (F.sum(_PART).over(prefix) - F.col(_PART)).alias(_OFFSET),
+        *[(F.sum(n).over(prefix) - F.col(n)).alias(f"__off{n}") for n in measures],
         F.sum(_PART).over(Window.partitionBy()).alias(_TOTAL),
     )
     local_order = Window.partitionBy(_PID).orderBy(*order)
-    local = (
-        F.row_number().over(local_order)
-        if weight is None
-        else F.sum(w).over(local_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    )
-    return (
-        tagged.join(F.broadcast(offsets), _PID)
-        .withColumn(_POS, F.col(_OFFSET) + local)
-        .drop(_PID, _OFFSET)
-    )
+    running = local_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = tagged.join(F.broadcast(offsets), _PID)
+    for n, e in measures.items():
+        local = F.row_number().over(local_order) if (n == _PART and weight is None) else F.sum(e).over(running)
+        out = out.withColumn(_POS if n == _PART else n, F.col(f"__off{n}") + local)
+    return out.drop(_PID, *[f"__off{n}" for n in measures])
 
 
 def global_row_number(
     df: DataFrame, order: Sequence[Column], name: str = "row_number", partitions: int | None = None
 ) -> DataFrame:
     """``row_number() over (order by <order>)``; ``order`` should be total."""
-    return _positions(df, order, None, partitions).withColumn(name, F.col(_POS).cast("int")).drop(_POS, _TOTAL)
+    return _positions(df, order, None, partitions).withColumn(name, F.col(_POS).cast("long")).drop(_POS, _TOTAL)
 
 
 def _sort(columns: Sequence[str], ascending: Sequence[bool]) -> list[Column]:
@@ -94,7 +109,7 @@ def global_rank(
     ranked = _positions(values, _sort(by, ascending), _W, partitions)
     ranks = ranked.select(
         *[F.col(c).alias(f"__v{i}") for i, c in enumerate(by)],
-        (F.col(_POS) - F.col(_W) + 1).cast("int").alias(name),
+        (F.col(_POS) - F.col(_W) + 1).cast("long").alias(name),
     )
     cond = [df[c].eqNullSafe(ranks[f"__v{i}"]) for i, c in enumerate(by)]
     return df.join(ranks, cond, "inner").drop(*[f"__v{i}" for i in range(len(by))])
@@ -145,6 +160,60 @@ def row_number_within(
     cond = [pos[k].eqNullSafe(starts[f"__g{i}"]) for i, k in enumerate(keys)]
     return (
         pos.join(starts, cond, "inner")
-        .withColumn(name, (F.col(_POS) - F.col("__start") + 1).cast("int"))
+        .withColumn(name, (F.col(_POS) - F.col("__start") + 1).cast("long"))
         .drop(_POS, _TOTAL, "__start", *[f"__g{i}" for i in range(len(keys))])
     )
+
+
+def running_within(
+    df: DataFrame,
+    partition_by: Sequence[str],
+    order: Sequence[Column],
+    sums: dict[str, str],
+    lags: dict[str, str] | None = None,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Running sums and previous-row values inside groups, without one window
+    partition per group.
+
+    ``sums``: output name -> column; ``SUM(column) OVER (PARTITION BY
+    <partition_by> ORDER BY <order> ROWS UNBOUNDED PRECEDING)`` (NULL until the
+    first non-NULL value).  ``lags``: output name -> column; ``LAG(column)``
+    over the same order.  ``order`` should be total inside a group.
+
+    Rows are numbered in the global order (group columns first); a group's
+    running sum is the global running sum minus its value just before the
+    group's first row, and the previous row is found by an equi-join on the
+    position (a unique key), so a group holding a third of all rows is spread
+    over many tasks.
+    """
+    keys = list(partition_by)
+    value_cols = sorted(set(sums.values()))
+    pos = _positions(df, [F.col(k).asc() for k in keys] + list(order), None, partitions, value_cols)
+    firsts = [F.min_by(F.col(f"__rs_{c}") - F.coalesce(F.col(c), F.lit(0)), F.col(_POS)).alias(f"__s_{c}") for c in value_cols]
+    firsts += [F.min_by(F.col(f"__rn_{c}") - F.col(c).isNotNull().cast("long"), F.col(_POS)).alias(f"__c_{c}") for c in value_cols]
+    starts = pos.groupBy(*keys).agg(*firsts)
+    starts = starts.select(*[F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)], *[f"__s_{c}" for c in value_cols], *[f"__c_{c}" for c in value_cols])
+    cond = [pos[k].eqNullSafe(starts[f"__g{i}"]) for i, k in enumerate(keys)]
+    out = pos.join(starts, cond, "inner")
+    for name, c in sums.items():
+        count = F.col(f"__rn_{c}") - F.col(f"__c_{c}")
+        out = out.withColumn(name, F.when(count > 0, F.col(f"__rs_{c}") - F.col(f"__s_{c}")))
+    if lags:
+        prev = pos.select(
+            (F.col(_POS) + 1).alias("__ppos"),
+            *[F.col(k).alias(f"__pk{i}") for i, k in enumerate(keys)],
+            *[F.col(c).alias(f"__pv_{n}") for n, c in lags.items()],
+        )
+        out = out.join(prev, out[_POS] == prev["__ppos"], "left")
+        same = None
+        for i, k in enumerate(keys):
+            cond_i = out[k].eqNullSafe(F.col(f"__pk{i}"))
+            same = cond_i if same is None else same & cond_i
+        for name in lags:
+            out = out.withColumn(name, F.when(same, F.col(f"__pv_{name}")))
+        out = out.drop("__ppos", *[f"__pk{i}" for i in range(len(keys))], *[f"__pv_{n}" for n in lags])
+    helper = [_POS, _TOTAL] + [f"__g{i}" for i in range(len(keys))]
+    for c in value_cols:
+        helper += [f"__rs_{c}", f"__rn_{c}", f"__s_{c}", f"__c_{c}"]
+    return out.drop(*helper)

@@ -46,7 +46,7 @@ def sector_performance(model: CrmModel) -> DataFrame:
         int_div(F.col("revenue"), F.col("valued_deals")).alias("avg_deal_value"),
         F.col("revenue").alias("total_revenue"),
         n2_percent(share).alias("percent_of_total"),
-        F.rank().over(Window.orderBy(F.col("revenue").desc())).alias("sector_revenue_rank"),
+        F.rank().over(Window.orderBy(F.col("revenue").desc())).cast("long").alias("sector_revenue_rank"),
     )
 
 

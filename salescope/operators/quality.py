@@ -45,8 +45,8 @@ def repair_values(
 
     ``mapping``: a small literal map ``{bad: good}`` (a CASE expression).
     ``canonical``: a table of correct spellings; values equal to one of them
-    after trimming and lower-casing are replaced by it.  The lookup is built
-    on the *distinct* values of ``column`` (a small frame), then joined back.
+    after trimming and lower-casing are replaced by it (one left join; the
+    frame is computed once).
     """
     out = df
     if mapping:
@@ -57,17 +57,15 @@ def repair_values(
     if canonical is not None:
         ccol = canonical_column or column
         norm = lambda c: F.lower(F.trim(c))
-        spellings = canonical.select(norm(F.col(ccol)).alias("__norm"), F.col(ccol).alias("__good"))
-        # one spelling per normalised value; exact matches keep their own
-        spellings = spellings.groupBy("__norm").agg(F.min("__good").alias("__good"))
-        lookup = (
-            out.select(F.col(column).alias("__bad")).distinct().where(F.col("__bad").isNotNull())
-            .join(spellings, norm(F.col("__bad")) == F.col("__norm"), "inner")
-            .select("__bad", "__good")
+        # one spelling per normalised value (a table the size of the dimension)
+        spellings = (
+            canonical.select(norm(F.col(ccol)).alias("__norm"), F.col(ccol).alias("__good"))
+            .groupBy("__norm")
+            .agg(F.min("__good").alias("__good"))
         )
         cols = df.columns
         out = (
-            out.join(lookup, out[column] == lookup["__bad"], "left")
+            out.join(spellings, norm(out[column]) == spellings["__norm"], "left")
             .withColumn(column, F.coalesce(F.col("__good"), F.col(column)))
             .select(*cols)
         )

@@ -51,7 +51,9 @@ def agent_revenue_rank(model: CrmModel, strategy: str = "distributed") -> DataFr
     """``(sales_agent, total_revenue, revenue_rank)``: rank by revenue, gaps on ties."""
     revenue = agent_revenue(model)
     if strategy == "window":
-        return revenue.withColumn("revenue_rank", F.rank().over(Window.orderBy(F.col("total_revenue").desc())))
+        return revenue.withColumn(
+            "revenue_rank", F.rank().over(Window.orderBy(F.col("total_revenue").desc())).cast("long")
+        )
     return global_rank(revenue, ["total_revenue"], [False], "revenue_rank")
 
 

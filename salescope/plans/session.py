@@ -36,6 +36,7 @@ def build_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
@@ -44,6 +45,22 @@ def build_session(
     return spark
 
 
+# Settings for a large cluster (about 100 TB of deals).  AQE sizes shuffle
+# partitions at run time from a generous initial count; skewed join
+# partitions are split; broadcast stays behind the planner's size check.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory, setting it only if unset.
 

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from salescope.plans.model import CrmModel
 from salescope.operators import cumulative, explore, performance, quality, rank, report, segment, share
 from salescope.sources.star import FOCAL_AGENT, HOME_COUNTRY, from_star
 
@@ -20,9 +21,21 @@ THRESHOLD = 9_000_000
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_MODELS: dict[tuple[str, str], CrmModel] = {}
+
+
+def model_for(spark: SparkSession, sf_dir: str) -> CrmModel:
+    """The star model of ``sf_dir``, built once per application and directory
+    (a model holds lazy plans only; analyses share it)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODELS:
+        _MODELS[key] = from_star(spark, sf_dir)
+    return _MODELS[key]
+
+
 def _on_star(fn: Callable[..., DataFrame], **kwargs) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(from_star(spark, sf_dir), **kwargs)
+        return fn(model_for(spark, sf_dir), **kwargs)
 
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__

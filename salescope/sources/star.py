@@ -40,6 +40,21 @@ from salescope.plans.model import CrmModel, Dimension
 # Order status code -> deal stage.
 STATUS_TO_STAGE = {"F": "Won", "P": "Lost", "O": "Engaging"}
 
+# Schemas of the driver tables (columns the mapping reads).  Explicit schemas
+# skip the footer read that schema inference does for every table at planning.
+TABLE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_brand string, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz",
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_extendedprice double, l_shipdate timestamp_ntz"
+    ),
+}
+
 # Parameters of the mapping (see FIXTURES.md): the home country of the
 # part-to-whole and segmentation analyses, and the focal / outlier agent.
 HOME_COUNTRY = "NATION_0"
@@ -58,7 +73,7 @@ def from_star(spark: SparkSession, sf_dir: str) -> CrmModel:
     """CRM model over ``{sf_dir}/{table}.parquet``."""
 
     def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
     nation = F.broadcast(read("nation").select("n_nationkey", "n_name", "n_regionkey"))
     region = F.broadcast(read("region").select("r_regionkey", "r_name"))
@@ -100,7 +115,14 @@ def from_star(spark: SparkSession, sf_dir: str) -> CrmModel:
         )
     )
 
+    facts: dict[tuple[str, ...] | None, DataFrame] = {}
+
     def fact(stages: tuple[str, ...] | None) -> DataFrame:
+        if stages not in facts:
+            facts[stages] = _fact(stages)
+        return facts[stages]
+
+    def _fact(stages: tuple[str, ...] | None) -> DataFrame:
         orders = read("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
         if stages is not None:
             codes = [code for code, stage in STATUS_TO_STAGE.items() if stage in stages]

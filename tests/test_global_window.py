@@ -9,7 +9,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from salescope.functions.kpi import int_div, n2_percent, pct
-from salescope.operators.global_window import global_ntile, global_rank, global_row_number, row_number_within
+from salescope.operators.global_window import (
+    global_ntile,
+    global_rank,
+    global_row_number,
+    row_number_within,
+    running_within,
+)
 from tests.conftest import rows
 
 
@@ -61,3 +67,27 @@ def test_kpi_helpers_round_half_away_from_zero(spark):
     ).collect()
     assert (got[0].p, got[0].p0, got[0].q, got[0].s, got[0].big) == (12.35, None, 3, "12.35%", "1,234,567.89%")
     assert (got[1].p, got[1].q) == (12.5, -3)  # integer average truncates toward zero
+
+
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_running_within_matches_window(spark, partitions):
+    rnd = random.Random(partitions)
+    data = [(i, f"g{rnd.randrange(4)}" if rnd.random() > 0.05 else None, rnd.randrange(-5, 50) if rnd.random() > 0.1 else None) for i in range(500)]
+    data += [(1000 + i, "hot", rnd.randrange(10)) for i in range(300)]
+    df = spark.createDataFrame(data, "id long, g string, v long")
+    w = Window.partitionBy("g").orderBy("id")
+    plain = df.select(
+        "id",
+        F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("cum"),
+        F.lag("v").over(w).alias("prev"),
+    )
+    dist = running_within(df, ["g"], [F.col("id").asc()], sums={"cum": "v"}, lags={"prev": "v"}, partitions=partitions)
+    assert rows(dist, "id", "cum", "prev") == rows(plain)
+
+
+def test_sales_insights_strategies_agree(spark):
+    from salescope.operators.report import sales_insights_view
+    from salescope.sources.star import from_star
+
+    model = from_star(spark, "/root/testdata/sf0.001")
+    assert rows(sales_insights_view(model, strategy="distributed")) == rows(sales_insights_view(model, strategy="window"))

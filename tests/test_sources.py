@@ -68,3 +68,21 @@ def test_frame_joins_only_needed_dimensions(spark):
     assert "s_suppkey" not in plan and "c_custkey" not in plan and "p_partkey" not in plan
     plan = model.frame(["manager", "close_value"])._jdf.queryExecution().optimizedPlan().toString()
     assert "s_suppkey" in plan and "c_custkey" not in plan and "p_partkey" not in plan
+
+
+def test_snapshot_round_trip_and_views(spark):
+    from salescope.operators import explore, rank
+    from salescope.plans.snapshot import from_snapshot, register_views, write_snapshot
+
+    model = from_star(spark, SF)
+    path = tempfile.mkdtemp(prefix="salescope-snap-", dir="/tmp") + "/deals"
+    write_snapshot(model, path)
+    snap = from_snapshot(spark, path, model)
+    assert rows(rank.agent_revenue(snap)) == rows(rank.agent_revenue(model))
+    assert rows(explore.magnitude(snap, "sector")) == rows(explore.magnitude(model, "sector"))
+    plan = explore.magnitude(snap, "sector")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "s_suppkey" not in plan
+    names = register_views(model, prefix="t_")
+    assert "t_full_sales_data" in names
+    n = spark.sql("SELECT COUNT(*) FROM t_full_sales_data WHERE deal_stage = 'Won'").collect()[0][0]
+    assert n == model.frame(["deal_stage"], stages=("Won",)).count()
