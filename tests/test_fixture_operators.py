@@ -280,3 +280,63 @@ def test_exploration_tables(crm):
     assert b == (D(2023, 1, 2), D(2024, 1, 15), D(2023, 1, 10), D(2024, 1, 20))
     numbering = rows(explore.product_numbering(crm))
     assert numbering == [("Alpha", "Alpha Basic", 1), ("Alpha", "Alpha Plus", 2), ("Beta", "Beta One", 1)]
+
+
+ALL_OPERATORS = [
+    (quality.orphan_products, {}),
+    (quality.value_repair, {}),
+    (quality.fk_violations, {}),
+    (quality.duplicate_keys, {}),
+    (quality.null_counts, {}),
+    (quality.column_catalog, {}),
+    (explore.product_numbering, {}),
+    (explore.team_size, {}),
+    (explore.account_count, {}),
+    (explore.accounts_by_sector, {}),
+    (explore.accounts_by_location, {}),
+    (explore.accounts_by_holding, {}),
+    (explore.deals_by_stage, {}),
+    (explore.date_bounds, {}),
+    (explore.month_of_year_sales, {}),
+    (explore.kpi_measures, {}),
+    (explore.magnitude_all, {}),
+    (share.series_share, {}),
+    (share.location_share, {}),
+    (share.sector_pareto, {}),
+    (share.series_part_to_whole, {}),
+    (share.home_vs_other, {"home": "Homeland"}),
+    (share.non_home_products, {"home": "Homeland"}),
+    (rank.top_agents_by_value, {}),
+    (rank.top_agents_by_win_rate, {}),
+    (rank.agent_revenue_rank, {}),
+    (rank.agent_tier, {}),
+    (cumulative.cumulative_deals_by_product, {}),
+    (cumulative.threshold_date, {"amount": 500}),
+    (cumulative.focal_agent_share, {"agent": "Blake Reed"}),
+    (cumulative.new_accounts_by_month, {}),
+    (performance.manager_win_rate, {}),
+    (performance.sector_performance, {}),
+    (performance.negotiation_days, {}),
+    (performance.account_win_rate, {}),
+    (performance.sector_frequency, {}),
+    (segment.agent_segment, {"outlier": "Drew Lane"}),
+    (segment.account_segment, {"home": "Homeland"}),
+    (report.sales_insights_view, {}),
+    (report.agent_month_insights, {}),
+]
+
+
+@pytest.mark.parametrize("fn,kwargs", ALL_OPERATORS, ids=[f.__name__ for f, _ in ALL_OPERATORS])
+def test_every_operator_runs_on_name_keyed_model(crm, fn, kwargs):
+    df = fn(crm, **kwargs)
+    assert df.count() >= 0 and len(df.columns) >= 1
+
+
+def test_ntile_sizes_and_focal_split(crm):
+    sizes = {}
+    for _, _, _, t in rows(rank.agent_tier(crm)):
+        sizes[t] = sizes.get(t, 0) + 1
+    assert max(sizes.values()) - min(sizes.values()) <= 1
+    deals = {p: n for p, _, n in rows(explore.magnitude(crm, "product"))}
+    for p, f, o, _ in rows(cumulative.focal_agent_share(crm, "Avery Stone")):
+        assert f + o == deals[p]
