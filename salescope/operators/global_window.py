@@ -14,8 +14,11 @@ products.  Here the order is computed in parallel:
    could assign rows differently; the checkpoint pins one assignment;
 3. per-partition totals (one row per partition) -> exclusive prefix sums over
    that tiny frame -> broadcast (its size is the partition count);
-4. a window *partitioned by the partition id* numbers the rows locally; the
-   global position is the partition offset plus the local number.
+4. the local number: for plain row numbers, the partition is sorted and the
+   row's ``monotonically_increasing_id`` less the partition base, computed
+   before the checkpoint (no further shuffle); for running sums, a window
+   *partitioned by the partition id*.  The global position is the partition
+   offset plus the local number.
 
 ``rank`` groups equal values first (partial aggregation, so a value held by a
 third of all rows costs one row per task), numbers the distinct values
@@ -42,6 +45,7 @@ _OFFSET = "__offset"
 _TOTAL = "__total"
 _PART = "__part"
 _W = "__weight"
+_LOCAL = "__local"
 
 
 def _positions(
@@ -62,7 +66,18 @@ def _positions(
     # Without an explicit count AQE may coalesce the range partitions; they stay
     # contiguous slices of the order, which is all the numbering needs.
     ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
-    tagged = ranged.withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True)
+    plain = weight is None and not sums
+    if plain:
+        # Row numbers need no window: sorted inside its partition, a row's
+        # local index is its monotonically_increasing_id minus the partition's
+        # base (partition index << 33), computed in the same task.
+        ranged = ranged.sortWithinPartitions(*order)
+    tagged = ranged.withColumn(_PID, F.spark_partition_id())
+    if plain:
+        tagged = tagged.withColumn(
+            _LOCAL, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33) + 1
+        )
+    tagged = tagged.checkpoint(eager=True)
 
     w = F.lit(1).cast("long") if weight is None else F.col(weight).cast("long")
     measures = {_PART: w}
@@ -80,9 +95,14 @@ def _positions(
     running = local_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = tagged.join(F.broadcast(offsets), _PID)
     for n, e in measures.items():
-        local = F.row_number().over(local_order) if (n == _PART and weight is None) else F.sum(e).over(running)
+        if n == _PART and plain:
+            local = F.col(_LOCAL)
+        elif n == _PART and weight is None:
+            local = F.row_number().over(local_order)
+        else:
+            local = F.sum(e).over(running)
         out = out.withColumn(_POS if n == _PART else n, F.col(f"__off{n}") + local)
-    return out.drop(_PID, *[f"__off{n}" for n in measures])
+    return out.drop(_PID, _LOCAL, *[f"__off{n}" for n in measures])
 
 
 def global_row_number(
