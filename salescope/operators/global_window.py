@@ -33,6 +33,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,6 +49,36 @@ _W = "__weight"
 _LOCAL = "__local"
 
 
+def _range_checkpoint(df: DataFrame, order: Sequence[Column], partitions: int | None, local_index: bool) -> DataFrame:
+    """Range-partition ``df`` on ``order``, tag rows with their partition id
+    (and, when ``local_index``, their index in the sorted partition), and
+    checkpoint.
+
+    A reliable checkpoint runs its input twice (once for the job, once to
+    write the files) and the range bounds need a sampling pass: the input is
+    persisted meanwhile so that it is computed once; the write reuses the
+    shuffle output.  The cache is dropped once the checkpoint is written.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    source = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # Without an explicit count AQE may coalesce the range partitions; they
+        # stay contiguous slices of the order, which is all the numbering needs.
+        ranged = source.repartitionByRange(partitions, *order) if partitions else source.repartitionByRange(*order)
+        if local_index:
+            ranged = ranged.sortWithinPartitions(*order)
+        tagged = ranged.withColumn(_PID, F.spark_partition_id())
+        if local_index:
+            # sorted inside its partition, a row's local index is its
+            # monotonically_increasing_id less the partition base (index << 33)
+            tagged = tagged.withColumn(
+                _LOCAL, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33)
+            )
+        return tagged.checkpoint(eager=True)
+    finally:
+        source.unpersist()
+
+
 def _positions(
     df: DataFrame,
     order: Sequence[Column],
@@ -61,23 +92,8 @@ def _positions(
     For each column ``c`` of ``sums`` also ``__rs_c`` (inclusive running sum of
     ``c``, NULLs as 0) and ``__rn_c`` (running count of non-NULL ``c``).
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    # Without an explicit count AQE may coalesce the range partitions; they stay
-    # contiguous slices of the order, which is all the numbering needs.
-    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     plain = weight is None and not sums
-    if plain:
-        # Row numbers need no window: sorted inside its partition, a row's
-        # local index is its monotonically_increasing_id minus the partition's
-        # base (partition index << 33), computed in the same task.
-        ranged = ranged.sortWithinPartitions(*order)
-    tagged = ranged.withColumn(_PID, F.spark_partition_id())
-    if plain:
-        tagged = tagged.withColumn(
-            _LOCAL, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33) + 1
-        )
-    tagged = tagged.checkpoint(eager=True)
+    tagged = _range_checkpoint(df, order, partitions, local_index=plain)
 
     w = F.lit(1).cast("long") if weight is None else F.col(weight).cast("long")
     measures = {_PART: w}
@@ -96,7 +112,7 @@ def _positions(
     out = tagged.join(F.broadcast(offsets), _PID)
     for n, e in measures.items():
         if n == _PART and plain:
-            local = F.col(_LOCAL)
+            local = F.col(_LOCAL) + 1
         elif n == _PART and weight is None:
             local = F.row_number().over(local_order)
         else:
@@ -201,39 +217,72 @@ def running_within(
     first non-NULL value).  ``lags``: output name -> column; ``LAG(column)``
     over the same order.  ``order`` should be total inside a group.
 
-    Rows are numbered in the global order (group columns first); a group's
-    running sum is the global running sum minus its value just before the
-    group's first row, and the previous row is found by an equi-join on the
-    position (a unique key), so a group holding a third of all rows is spread
-    over many tasks.
+    The rows are range-partitioned on (group, order) and checkpointed, so a
+    group holding a third of all rows spans many partitions.  Windows run per
+    (partition, group); a group that continues from earlier partitions gets
+    their sums and the previous partition's last value from per-partition
+    statistics (one row per partition, broadcast back).
     """
     keys = list(partition_by)
+    lags = dict(lags or {})
+    full = [F.col(k).asc() for k in keys] + list(order)
+    tagged = _range_checkpoint(df, full, partitions, local_index=True)
+
+    # windows inside (partition, group), in the sorted order (= local index)
+    w = Window.partitionBy(_PID, *keys).orderBy(_LOCAL)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     value_cols = sorted(set(sums.values()))
-    pos = _positions(df, [F.col(k).asc() for k in keys] + list(order), None, partitions, value_cols)
-    firsts = [F.min_by(F.col(f"__rs_{c}") - F.coalesce(F.col(c), F.lit(0)), F.col(_POS)).alias(f"__s_{c}") for c in value_cols]
-    firsts += [F.min_by(F.col(f"__rn_{c}") - F.col(c).isNotNull().cast("long"), F.col(_POS)).alias(f"__c_{c}") for c in value_cols]
-    starts = pos.groupBy(*keys).agg(*firsts)
-    starts = starts.select(*[F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)], *[f"__s_{c}" for c in value_cols], *[f"__c_{c}" for c in value_cols])
-    cond = [pos[k].eqNullSafe(starts[f"__g{i}"]) for i, k in enumerate(keys)]
-    out = pos.join(starts, cond, "inner")
+    local = tagged
+    for c in value_cols:
+        local = local.withColumn(f"__ls_{c}", F.sum(F.coalesce(F.col(c), F.lit(0))).over(run))
+        local = local.withColumn(f"__ln_{c}", F.count(F.col(c)).over(run))
+    for name, c in lags.items():
+        local = local.withColumn(f"__ll_{name}", F.lag(F.col(c)).over(w))
+    local = local.withColumn("__first", F.row_number().over(w) == 1)
+
+    # per partition: first group, and the last row (its group, running sums, values)
+    group = F.struct(*[F.col(k) for k in keys])
+    last_row = F.struct(
+        group.alias("k"),
+        *[F.col(f"__ls_{c}").alias(f"s_{c}") for c in value_cols],
+        *[F.col(f"__ln_{c}").alias(f"n_{c}") for c in value_cols],
+        *[F.col(c).alias(f"v_{name}") for name, c in lags.items()],
+    )
+    stats = tagged if not value_cols and not lags else local
+    stats = stats.groupBy(_PID).agg(
+        F.min_by(group, F.col(_LOCAL)).alias("__fk"), F.max_by(last_row, F.col(_LOCAL)).alias("__last")
+    )
+    # sums of a group over all partitions so far that end in it
+    by_last = Window.partitionBy(F.col("__last.k")).orderBy(_PID).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    stats = stats.select(
+        _PID,
+        "__fk",
+        "__last",
+        *[F.sum(F.col(f"__last.s_{c}")).over(by_last).alias(f"__is_{c}") for c in value_cols],
+        *[F.sum(F.col(f"__last.n_{c}")).over(by_last).alias(f"__in_{c}") for c in value_cols],
+    )
+    by_pid = Window.orderBy(_PID)
+    carries = stats.select(
+        _PID,
+        "__fk",
+        F.coalesce(F.col("__fk").eqNullSafe(F.lag(F.col("__last.k")).over(by_pid)), F.lit(False)).alias("__cont"),
+        *[F.lag(f"__is_{c}").over(by_pid).alias(f"__cs_{c}") for c in value_cols],
+        *[F.lag(f"__in_{c}").over(by_pid).alias(f"__cn_{c}") for c in value_cols],
+        *[F.lag(F.col(f"__last.v_{name}")).over(by_pid).alias(f"__cv_{name}") for name in lags],
+    )
+
+    out = local.join(F.broadcast(carries), _PID)
+    continued = group.eqNullSafe(F.col("__fk")) & F.col("__cont")
     for name, c in sums.items():
-        count = F.col(f"__rn_{c}") - F.col(f"__c_{c}")
-        out = out.withColumn(name, F.when(count > 0, F.col(f"__rs_{c}") - F.col(f"__s_{c}")))
-    if lags:
-        prev = pos.select(
-            (F.col(_POS) + 1).alias("__ppos"),
-            *[F.col(k).alias(f"__pk{i}") for i, k in enumerate(keys)],
-            *[F.col(c).alias(f"__pv_{n}") for n, c in lags.items()],
-        )
-        out = out.join(prev, out[_POS] == prev["__ppos"], "left")
-        same = None
-        for i, k in enumerate(keys):
-            cond_i = out[k].eqNullSafe(F.col(f"__pk{i}"))
-            same = cond_i if same is None else same & cond_i
-        for name in lags:
-            out = out.withColumn(name, F.when(same, F.col(f"__pv_{name}")))
-        out = out.drop("__ppos", *[f"__pk{i}" for i in range(len(keys))], *[f"__pv_{n}" for n in lags])
-    helper = [_POS, _TOTAL] + [f"__g{i}" for i in range(len(keys))]
+        total = F.col(f"__ls_{c}") + F.when(continued, F.col(f"__cs_{c}")).otherwise(F.lit(0))
+        count = F.col(f"__ln_{c}") + F.when(continued, F.col(f"__cn_{c}")).otherwise(F.lit(0))
+        out = out.withColumn(name, F.when(count > 0, total))
+    for name in lags:
+        carried = F.when(continued, F.col(f"__cv_{name}"))
+        out = out.withColumn(name, F.when(F.col("__first"), carried).otherwise(F.col(f"__ll_{name}")))
+    helper = [_PID, _LOCAL, "__first", "__fk", "__cont"]
     for c in value_cols:
-        helper += [f"__rs_{c}", f"__rn_{c}", f"__s_{c}", f"__c_{c}"]
+        helper += [f"__ls_{c}", f"__ln_{c}", f"__cs_{c}", f"__cn_{c}"]
+    for name in lags:
+        helper += [f"__ll_{name}", f"__cv_{name}"]
     return out.drop(*helper)

@@ -69,11 +69,12 @@ def test_kpi_helpers_round_half_away_from_zero(spark):
     assert (got[1].p, got[1].q) == (12.5, -3)  # integer average truncates toward zero
 
 
-@pytest.mark.parametrize("partitions", [1, 5])
+@pytest.mark.parametrize("partitions", [1, 5, 12, 40])
 def test_running_within_matches_window(spark, partitions):
     rnd = random.Random(partitions)
     data = [(i, f"g{rnd.randrange(4)}" if rnd.random() > 0.05 else None, rnd.randrange(-5, 50) if rnd.random() > 0.1 else None) for i in range(500)]
-    data += [(1000 + i, "hot", rnd.randrange(10)) for i in range(300)]
+    data += [(1000 + i, "hot", rnd.randrange(10) if i % 50 else None) for i in range(300)]
+    data += [(2000 + i, "allnull", None) for i in range(120)]
     df = spark.createDataFrame(data, "id long, g string, v long")
     w = Window.partitionBy("g").orderBy("id")
     plain = df.select(
