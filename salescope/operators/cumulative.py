@@ -49,12 +49,17 @@ def threshold_date(model: CrmModel, amount: int) -> DataFrame:
 
 def focal_agent_share(model: CrmModel, agent: str) -> DataFrame:
     """``(product, focal_deals, other_deals, focal_pct)``: won deals of one agent
-    against all others, per product (deals with no agent count as others)."""
-    per_agent = model.measures(["product", "sales_agent"], ("deals",), stages=(WON,))
-    is_focal = F.col("sales_agent") == F.lit(agent)
-    grouped = per_agent.groupBy("product").agg(
-        F.sum(F.when(is_focal, F.col("deals")).otherwise(F.lit(0))).alias("focal_deals"),
-        F.sum(F.when(is_focal, F.lit(0)).otherwise(F.col("deals"))).alias("other_deals"),
+    against all others, per product (deals with no agent count as others).
+
+    The agent is matched on the fact's own columns (see
+    :meth:`CrmModel.label_equals`), so deals aggregate straight to products.
+    """
+    fact = model.fact((WON,))
+    is_focal = F.coalesce(model.label_equals("sales_agent", agent, fact.columns), F.lit(False))
+    grouped = (
+        fact.select("product", is_focal.alias("__focal"))
+        .groupBy("product")
+        .agg(F.count_if(F.col("__focal")).alias("focal_deals"), F.count_if(~F.col("__focal")).alias("other_deals"))
     )
     return grouped.withColumn(
         "focal_pct", pct(F.col("focal_deals"), F.col("focal_deals") + F.col("other_deals"))

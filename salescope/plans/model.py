@@ -144,6 +144,23 @@ class CrmModel:
                 return d
         raise ValueError(f"unknown column {column!r}; expected one of {FULL_SALES_COLUMNS}")
 
+    def label_equals(self, column: str, value: object, fact_columns: Sequence[str] | None = None) -> Column:
+        """Predicate over fact columns equivalent to ``<column> = value`` on the
+        deal frame, for a label held by a dimension (e.g. an agent name when
+        the fact carries the agent key).
+
+        The keys whose label equals ``value`` are collected once by a scalar
+        subquery (as many keys as rows carry that one label) and tested with
+        ``array_contains``: no join with the fact.  NULL and unmatched keys
+        are never equal, as in the join.
+        """
+        columns = set(fact_columns) if fact_columns is not None else set(self.fact().columns)
+        d = self._supplier_of(column, columns)
+        if d is None:
+            return F.col(column) == F.lit(value)
+        keys = d.frame.where(F.col(column) == F.lit(value)).agg(F.collect_set(d.key)).scalar()
+        return F.array_contains(keys, F.col(d.key))
+
     # -- denormalised frame -------------------------------------------------
     def frame(
         self,
