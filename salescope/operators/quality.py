@@ -81,23 +81,36 @@ def value_repair(model: CrmModel, mapping: Mapping[str, str] | None = None) -> D
 def fk_violations(model: CrmModel, dims: Sequence[str] = ("teams", "products", "accounts")) -> DataFrame:
     """``(relationship, key_value, n_rows)``: non-NULL fact keys with no parent row.
 
-    NULL keys are exempt, as in a declared foreign key.  The parent side must
+    NULL keys are exempt, as in a declared foreign key.  One scan of the deals:
+    GROUPING SETS count the rows per value of each key; each count row is
+    labelled with its relationship and anti-joined, in one join, with the
+    keys of all parent tables labelled the same way.  The parent side must
     also be unique; see :func:`duplicate_keys`.
     """
-    parts = []
-    for name in dims:
-        d = model.dim(name)
-        counts = model.fact().where(F.col(d.key).isNotNull()).groupBy(d.key).agg(F.count(F.lit(1)).alias("n_rows"))
-        missing = orphans(counts, d.frame, d.key).select(
-            F.lit(f"sales.{d.key} -> {name}.{d.key}").alias("relationship"),
-            F.col(d.key).cast("string").alias("key_value"),
-            "n_rows",
-        )
-        parts.append(missing)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    ds = [model.dim(name) for name in dims]
+    keys = [d.key for d in ds]
+    labels = [f"sales.{d.key} -> {d.name}.{d.key}" for d in ds]
+    n = len(keys)
+    counts = (
+        model.fact()
+        .select(*keys)
+        .groupingSets([[k] for k in keys], *keys)
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.grouping_id(*keys).alias("__gid"))
+    )
+    relationship = None
+    for i, label in enumerate(labels):
+        cond = F.col("__gid") == (1 << n) - 1 - (1 << (n - 1 - i))
+        relationship = F.when(cond, F.lit(label)) if relationship is None else relationship.when(cond, F.lit(label))
+    children = counts.select(
+        relationship.alias("relationship"),
+        F.coalesce(*[F.col(k).cast("string") for k in keys]).alias("key_value"),
+        "n_rows",
+    ).where(F.col("key_value").isNotNull())
+    parents = None
+    for d, label in zip(ds, labels, strict=True):
+        part = d.frame.select(F.lit(label).alias("relationship"), F.col(d.key).cast("string").alias("key_value"))
+        parents = part if parents is None else parents.unionByName(part)
+    return children.join(parents, ["relationship", "key_value"], "left_anti")
 
 
 def duplicate_keys(model: CrmModel, dims: Sequence[str] = ("teams", "products", "accounts")) -> DataFrame:
