@@ -36,7 +36,7 @@ def cumulative_deals_by_product(model: CrmModel) -> DataFrame:
 def threshold_date(model: CrmModel, amount: int) -> DataFrame:
     """``(sales_agent, hit_date)``: first close date at which an agent's running
     won revenue reaches ``amount``; agents that never reach it are absent."""
-    daily = model.measures(["sales_agent", "close_date"], ("revenue",), stages=(WON,))
+    daily = model.measures(["sales_agent", "close_date"], ("revenue",), stages=(WON,), cluster_by=["sales_agent"])
     running = Window.partitionBy("sales_agent").orderBy("close_date")
     return (
         daily.withColumn("cum_revenue", F.sum("revenue").over(running))

@@ -89,7 +89,11 @@ def agent_month_insights(model: CrmModel) -> DataFrame:
     """``(month, sales_agent, regional_office, revenue, prev_month_revenue,
     revenue_growth_pct, cum_revenue, cum_deals)`` per (month, agent)."""
     monthly = model.measures(
-        ["month", "sales_agent", "regional_office"], ("deals", "revenue"), stages=(WON,), derived=_month()
+        ["month", "sales_agent", "regional_office"],
+        ("deals", "revenue"),
+        stages=(WON,),
+        derived=_month(),
+        cluster_by=["sales_agent"],
     )
     by_agent = Window.partitionBy("sales_agent").orderBy("month")
     running = by_agent.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -194,11 +194,15 @@ class CrmModel:
         which: Sequence[str] = ("deals", "revenue"),
         stages: Sequence[str] | None = None,
         derived: Mapping[str, Column] | None = None,
+        cluster_by: Sequence[str] | None = None,
     ) -> DataFrame:
         """Deal measures grouped by ``by`` (deal-frame columns or ``derived`` names).
 
         ``derived`` maps new names to expressions over fact columns (e.g. the
         close month); they are computed before the first aggregation.
+        ``cluster_by`` (a subset of ``by``): when dimensions are joined, the
+        second aggregation is hash-partitioned by these columns only, so a
+        following window partitioned by them needs no further shuffle.
         Output: the ``by`` columns, then one column per measure in ``which``.
         """
         derived = dict(derived or {})
@@ -237,4 +241,6 @@ class CrmModel:
         for d in dims:
             needed = [c for c in by if c in d.provides and c not in first_names]
             joined = joined.join(self._dim_side(d, needed), on=d.key, how="left")
+        if cluster_by:
+            joined = joined.repartition(*cluster_by)
         return joined.groupBy(*by).agg(*[_MEASURES[m][1](m).alias(m) for m in which])
