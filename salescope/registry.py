@@ -1,18 +1,21 @@
-"""Registered analyses over the star-schema test mapping.
+"""The catalog of analyses, and its binding to the star-schema test mapping.
 
-``QUERIES[name](spark, sf_dir)`` builds the model from ``{sf_dir}/*.parquet``
-and returns the analysis as a lazy DataFrame.  Parameters of the analyses
-(home country, focal agent, revenue threshold) are those of the mapping.
+:func:`analyses` lists every analysis of a model as a lazy DataFrame,
+given the parameters the analysed scripts hard-code (home country, focal /
+outlier agent, revenue threshold).  ``QUERIES[name](spark, sf_dir)`` binds
+the catalog to the driver's tables (``{sf_dir}/*.parquet``) with the
+mapping's parameters.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salescope.plans.model import CrmModel
 from salescope.operators import cumulative, explore, performance, quality, rank, report, segment, share
+from salescope.plans.model import CrmModel
 from salescope.sources.star import FOCAL_AGENT, HOME_COUNTRY, from_star
 
 # Parameter of the threshold analysis on the mapping (see FIXTURES.md).
@@ -21,6 +24,89 @@ THRESHOLD = 9_000_000
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+@dataclass(frozen=True)
+class Params:
+    """Parameters of the analyses."""
+
+    home: str
+    focal_agent: str
+    threshold: int
+    top_n: int = 10
+    tiles: int = 4
+
+
+def _catalog(p: Params) -> dict[str, Callable[[CrmModel], DataFrame]]:
+    return {
+        # preparation and data quality
+        "orphan_products": quality.orphan_products,
+        "value_repair": quality.value_repair,
+        "fk_violations": quality.fk_violations,
+        "duplicate_keys": quality.duplicate_keys,
+        "full_sales": lambda m: m.frame(),
+        "null_counts": quality.null_counts,
+        "column_catalog": quality.column_catalog,
+        "string_columns": lambda m: quality.column_catalog(m, data_type="string"),
+        # exploration
+        "product_numbering": explore.product_numbering,
+        "team_size": explore.team_size,
+        "account_count": explore.account_count,
+        "accounts_by_sector": explore.accounts_by_sector,
+        "accounts_by_location": explore.accounts_by_location,
+        "accounts_by_holding": explore.accounts_by_holding,
+        "deals_by_stage": explore.deals_by_stage,
+        "date_bounds": explore.date_bounds,
+        "month_of_year_sales": explore.month_of_year_sales,
+        "kpi_measures": explore.kpi_measures,
+        **{
+            f"magnitude_{d}": (lambda m, d=d: explore.magnitude(m, d))
+            for d in explore.MAGNITUDE_DIMENSIONS
+        },
+        "magnitude_all": explore.magnitude_all,
+        # ranking and shares
+        "series_share": share.series_share,
+        f"top{p.top_n}_agents_value": lambda m: rank.top_agents_by_value(m, n=p.top_n),
+        f"top{p.top_n}_agents_win_rate": lambda m: rank.top_agents_by_win_rate(m, n=p.top_n),
+        "location_share": share.location_share,
+        "sector_pareto": share.sector_pareto,
+        # cumulative
+        "cumulative_deals_by_product": cumulative.cumulative_deals_by_product,
+        "threshold_date": lambda m: cumulative.threshold_date(m, amount=p.threshold),
+        "focal_agent_share": lambda m: cumulative.focal_agent_share(m, agent=p.focal_agent),
+        "new_accounts_by_month": cumulative.new_accounts_by_month,
+        # performance
+        "agent_revenue_rank": rank.agent_revenue_rank,
+        "manager_win_rate": performance.manager_win_rate,
+        "sector_performance": performance.sector_performance,
+        "negotiation_days": performance.negotiation_days,
+        "account_win_rate": performance.account_win_rate,
+        "sector_frequency": performance.sector_frequency,
+        # part-to-whole
+        "series_part_to_whole": share.series_part_to_whole,
+        "agent_tier": lambda m: rank.agent_tier(m, tiles=p.tiles),
+        "home_vs_other": lambda m: share.home_vs_other(m, home=p.home),
+        "non_home_products": lambda m: share.non_home_products(m, home=p.home),
+        # segmentation and report
+        "agent_segment": lambda m: segment.agent_segment(m, outlier=p.focal_agent),
+        "account_segment": lambda m: segment.account_segment(m, home=p.home),
+        "sales_insights_view": report.sales_insights_view,
+        "agent_month_insights": report.agent_month_insights,
+    }
+
+
+def analysis_names(params: Params) -> list[str]:
+    return list(_catalog(params))
+
+
+def analyses(model: CrmModel, params: Params) -> dict[str, Callable[[], DataFrame]]:
+    """Every analysis of ``model``; each value builds its DataFrame when called
+    (building some analyses runs a checkpoint job, so build only what you use)."""
+    return {name: (lambda fn=fn: fn(model)) for name, fn in _catalog(params).items()}
+
+
+# --- the star-schema test mapping ---------------------------------------------
+
+STAR_PARAMS = Params(home=HOME_COUNTRY, focal_agent=FOCAL_AGENT, threshold=THRESHOLD)
+
 _MODELS: dict[tuple[str, str], CrmModel] = {}
 
 
@@ -33,64 +119,12 @@ def model_for(spark: SparkSession, sf_dir: str) -> CrmModel:
     return _MODELS[key]
 
 
-def _on_star(fn: Callable[..., DataFrame], **kwargs) -> Query:
+def _on_star(name: str, fn: Callable[[CrmModel], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(model_for(spark, sf_dir), **kwargs)
+        return fn(model_for(spark, sf_dir))
 
-    run.__name__ = fn.__name__
-    run.__doc__ = fn.__doc__
+    run.__name__ = name
     return run
 
 
-QUERIES: dict[str, Query] = {
-    # preparation and data quality
-    "orphan_products": _on_star(quality.orphan_products),
-    "value_repair": _on_star(quality.value_repair),
-    "fk_violations": _on_star(quality.fk_violations),
-    "duplicate_keys": _on_star(quality.duplicate_keys),
-    "full_sales": _on_star(lambda m: m.frame()),
-    "null_counts": _on_star(quality.null_counts),
-    "column_catalog": _on_star(quality.column_catalog),
-    "string_columns": _on_star(quality.column_catalog, data_type="string"),
-    # exploration
-    "product_numbering": _on_star(explore.product_numbering),
-    "team_size": _on_star(explore.team_size),
-    "account_count": _on_star(explore.account_count),
-    "accounts_by_sector": _on_star(explore.accounts_by_sector),
-    "accounts_by_location": _on_star(explore.accounts_by_location),
-    "accounts_by_holding": _on_star(explore.accounts_by_holding),
-    "deals_by_stage": _on_star(explore.deals_by_stage),
-    "date_bounds": _on_star(explore.date_bounds),
-    "month_of_year_sales": _on_star(explore.month_of_year_sales),
-    "kpi_measures": _on_star(explore.kpi_measures),
-    **{f"magnitude_{d}": _on_star(explore.magnitude, dim=d) for d in explore.MAGNITUDE_DIMENSIONS},
-    "magnitude_all": _on_star(explore.magnitude_all),
-    # ranking and shares
-    "series_share": _on_star(share.series_share),
-    "top10_agents_value": _on_star(rank.top_agents_by_value, n=10),
-    "top10_agents_win_rate": _on_star(rank.top_agents_by_win_rate, n=10),
-    "location_share": _on_star(share.location_share),
-    "sector_pareto": _on_star(share.sector_pareto),
-    # cumulative
-    "cumulative_deals_by_product": _on_star(cumulative.cumulative_deals_by_product),
-    "threshold_date": _on_star(cumulative.threshold_date, amount=THRESHOLD),
-    "focal_agent_share": _on_star(cumulative.focal_agent_share, agent=FOCAL_AGENT),
-    "new_accounts_by_month": _on_star(cumulative.new_accounts_by_month),
-    # performance
-    "agent_revenue_rank": _on_star(rank.agent_revenue_rank),
-    "manager_win_rate": _on_star(performance.manager_win_rate),
-    "sector_performance": _on_star(performance.sector_performance),
-    "negotiation_days": _on_star(performance.negotiation_days),
-    "account_win_rate": _on_star(performance.account_win_rate),
-    "sector_frequency": _on_star(performance.sector_frequency),
-    # part-to-whole
-    "series_part_to_whole": _on_star(share.series_part_to_whole),
-    "agent_tier": _on_star(rank.agent_tier),
-    "home_vs_other": _on_star(share.home_vs_other, home=HOME_COUNTRY),
-    "non_home_products": _on_star(share.non_home_products, home=HOME_COUNTRY),
-    # segmentation and report
-    "agent_segment": _on_star(segment.agent_segment, outlier=FOCAL_AGENT),
-    "account_segment": _on_star(segment.account_segment, home=HOME_COUNTRY),
-    "sales_insights_view": _on_star(report.sales_insights_view),
-    "agent_month_insights": _on_star(report.agent_month_insights),
-}
+QUERIES: dict[str, Query] = {name: _on_star(name, fn) for name, fn in _catalog(STAR_PARAMS).items()}

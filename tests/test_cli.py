@@ -1,0 +1,46 @@
+"""The batch entry point over CRM CSV files."""
+
+from __future__ import annotations
+
+import csv
+import os
+import tempfile
+
+from salescope.__main__ import main
+from tests.conftest import rows
+from tests.fixture_crm import ACCOUNTS, PRODUCTS, SALES, TEAMS
+from salescope.sources.crm import ACCOUNTS_SCHEMA, PRODUCTS_SCHEMA, SALES_SCHEMA, TEAMS_SCHEMA
+
+
+def _csv(folder, name, schema, data):
+    path = os.path.join(folder, f"{name}.csv")
+    with open(path, "w", newline="", encoding="utf-8") as f:
+        w = csv.writer(f)
+        w.writerow(schema.fieldNames())
+        for row in data:
+            w.writerow(["" if v is None else v for v in row])
+    return path
+
+
+def test_cli_writes_every_analysis(spark):
+    folder = tempfile.mkdtemp(prefix="salescope-cli-", dir="/tmp")
+    args = [
+        "--sales", _csv(folder, "sales", SALES_SCHEMA, SALES),
+        "--teams", _csv(folder, "teams", TEAMS_SCHEMA, TEAMS),
+        "--products", _csv(folder, "products", PRODUCTS_SCHEMA, PRODUCTS),
+        "--accounts", _csv(folder, "accounts", ACCOUNTS_SCHEMA, ACCOUNTS),
+        "--home", "Homeland",
+        "--focal-agent", "Blake Reed",
+        "--threshold", "500",
+        "--repair", "product:AlphaPlus=Alpha Plus",
+        "--out", os.path.join(folder, "out"),
+    ]
+    assert main(args + ["--fail-on-fk"], spark=spark) == 2  # the fixture has a ghost agent
+    assert main(args + ["--snapshot", os.path.join(folder, "deals")], spark=spark) == 0
+    out = os.path.join(folder, "out")
+    assert len(os.listdir(out)) == 50
+    shares = rows(spark.read.parquet(os.path.join(out, "series_share")))
+    assert shares == [("Alpha", 1252, 41.01), ("Beta", 1801, 58.99)]
+    hits = rows(spark.read.parquet(os.path.join(out, "threshold_date")), "sales_agent")
+    assert hits == [("Avery Stone",), ("Blake Reed",), ("Ghost Agent",)]
+    assert main(args + ["--analyses", "nope"], spark=spark) == 1
