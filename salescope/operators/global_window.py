@@ -183,22 +183,14 @@ def row_number_within(
     name: str = "row_number",
     partitions: int | None = None,
 ) -> DataFrame:
-    """``row_number() over (partition by <partition_by> order by <order>)``.
-
-    Numbered in the global order (partition columns first), then shifted by
-    each group's first position: a group holding most rows is spread over
-    many tasks instead of one window partition.
-    """
-    keys = list(partition_by)
-    pos = _positions(df, [F.col(k).asc() for k in keys] + list(order), None, partitions)
-    starts = pos.groupBy(*keys).agg(F.min(_POS).alias("__start"))
-    starts = starts.select(*[F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)], "__start")
-    cond = [pos[k].eqNullSafe(starts[f"__g{i}"]) for i, k in enumerate(keys)]
-    return (
-        pos.join(starts, cond, "inner")
-        .withColumn(name, (F.col(_POS) - F.col("__start") + 1).cast("long"))
-        .drop(_POS, _TOTAL, "__start", *[f"__g{i}" for i in range(len(keys))])
+    """``row_number() over (partition by <partition_by> order by <order>)``:
+    a running count inside each group (see :func:`running_within`), so a group
+    holding most rows is spread over many tasks instead of one window
+    partition."""
+    counted = running_within(
+        df.withColumn("__one", F.lit(1).cast("long")), partition_by, order, sums={name: "__one"}, partitions=partitions
     )
+    return counted.drop("__one")
 
 
 def running_within(
