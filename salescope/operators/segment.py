@@ -10,8 +10,10 @@ from salescope.operators.global_window import global_ntile
 from salescope.operators.rank import agent_revenue
 from salescope.plans.model import WON, CrmModel
 
-# The four agent segments, best quartile first.
+# The four agent segments, best quartile first; the suffixes of
+# the three account segments (high, low, in between).
 AGENT_SEGMENTS = ("Top Performer", "Strong Performer", "Developing Performer", "Needs Improvement")
+ACCOUNT_SEGMENTS = (" VIP", " Emerging", " Regular")
 
 
 def agent_segment(
@@ -79,9 +81,9 @@ def account_segment(
     upper = F.col("avg_deals") + F.lit(k) * F.col("std_deals")
     lower = F.col("avg_deals") - F.lit(k) * F.col("std_deals")
     segment = (
-        F.when(F.col("won_deals") >= upper, F.concat(F.col("region"), F.lit(" VIP")))
-        .when(F.col("won_deals") <= lower, F.concat(F.col("region"), F.lit(" Emerging")))
-        .otherwise(F.concat(F.col("region"), F.lit(" Regular")))
+        F.when(F.col("won_deals") >= upper, F.concat(F.col("region"), F.lit(ACCOUNT_SEGMENTS[0])))
+        .when(F.col("won_deals") <= lower, F.concat(F.col("region"), F.lit(ACCOUNT_SEGMENTS[1])))
+        .otherwise(F.concat(F.col("region"), F.lit(ACCOUNT_SEGMENTS[2])))
     )
     return (
         counts.join(F.broadcast(stats), "region")
