@@ -92,3 +92,19 @@ def test_sales_insights_strategies_agree(spark):
 
     model = from_star(spark, "/root/testdata/sf0.001")
     assert rows(sales_insights_view(model, strategy="distributed")) == rows(sales_insights_view(model, strategy="window"))
+
+
+def test_hot_group_is_spread_over_partitions(spark):
+    from salescope.operators.global_window import _PID, _range_checkpoint
+
+    n = 30000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 500).cast("string"))).alias("g"),
+        F.col("id"),
+    )
+    tagged = _range_checkpoint(df, [F.col("g").asc(), F.col("id").asc()], 12, local_index=True)
+    sizes = [r["count"] for r in tagged.groupBy(_PID).count().collect()]
+    assert len(sizes) == 12
+    assert max(sizes) <= 2 * n / 12  # the hot third is split, not one task
+    hot_parts = tagged.where("g = 'hot'").select(_PID).distinct().count()
+    assert hot_parts >= 3
