@@ -14,11 +14,16 @@ products.  Here the order is computed in parallel:
    could assign rows differently; the checkpoint pins one assignment;
 3. per-partition totals (one row per partition) -> exclusive prefix sums over
    that tiny frame -> broadcast (its size is the partition count);
-4. the local number: for plain row numbers, the partition is sorted and the
-   row's ``monotonically_increasing_id`` less the partition base, computed
-   before the checkpoint (no further shuffle); for running sums, a window
-   *partitioned by the partition id*.  The global position is the partition
-   offset plus the local number.
+4. the local number: for plain row numbers the partition is sorted and a
+   row's ``monotonically_increasing_id`` less the partition base is its
+   index, computed before the checkpoint (no further shuffle); for weighted
+   positions a window *partitioned by the partition id*.  The global position
+   is the partition offset plus the local number.
+
+Running sums and ``lag`` inside groups (:func:`running_within`) use the same
+range-partitioned checkpoint with the group columns leading the order: windows
+run per (partition, group), and a group that continues from earlier
+partitions gets their sums and last value from per-partition statistics.
 
 ``rank`` groups equal values first (partial aggregation, so a value held by a
 third of all rows costs one row per task), numbers the distinct values
@@ -79,46 +84,29 @@ def _range_checkpoint(df: DataFrame, order: Sequence[Column], partitions: int |
         source.unpersist()
 
 
-def _positions(
-    df: DataFrame,
-    order: Sequence[Column],
-    weight: str | None,
-    partitions: int | None,
-    sums: Sequence[str] = (),
-) -> DataFrame:
+def _positions(df: DataFrame, order: Sequence[Column], weight: str | None, partitions: int | None) -> DataFrame:
     """``df`` plus ``__pos`` (inclusive running count, or running sum of
-    ``weight``, in the global ``order``) and ``__total`` (grand total).
-
-    For each column ``c`` of ``sums`` also ``__rs_c`` (inclusive running sum of
-    ``c``, NULLs as 0) and ``__rn_c`` (running count of non-NULL ``c``).
-    """
-    plain = weight is None and not sums
+    ``weight``, in the global ``order``) and ``__total`` (grand total)."""
+    plain = weight is None
     tagged = _range_checkpoint(df, order, partitions, local_index=plain)
-
-    w = F.lit(1).cast("long") if weight is None else F.col(weight).cast("long")
-    measures = {_PART: w}
-    for c in sums:
-        measures[f"__rs_{c}"] = F.coalesce(F.col(c), F.lit(0))
-        measures[f"__rn_{c}"] = F.col(c).isNotNull().cast("long")
-    per_part = tagged.groupBy(_PID).agg(*[F.sum(e).alias(n) for n, e in measures.items()])
+    w = F.lit(1).cast("long") if plain else F.col(weight).cast("long")
+    per_part = tagged.groupBy(_PID).agg(F.sum(w).alias(_PART))
     prefix = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = per_part.select(
         _PID,
-        *[(F.sum(n).over(prefix) - F.col(n)).alias(f"__off{n}") for n in measures],
+        (F.sum(_PART).over(prefix) - F.col(_PART)).alias(_OFFSET),
         F.sum(_PART).over(Window.partitionBy()).alias(_TOTAL),
     )
-    local_order = Window.partitionBy(_PID).orderBy(*order)
-    running = local_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = tagged.join(F.broadcast(offsets), _PID)
-    for n, e in measures.items():
-        if n == _PART and plain:
-            local = F.col(_LOCAL) + 1
-        elif n == _PART and weight is None:
-            local = F.row_number().over(local_order)
-        else:
-            local = F.sum(e).over(running)
-        out = out.withColumn(_POS if n == _PART else n, F.col(f"__off{n}") + local)
-    return out.drop(_PID, _LOCAL, *[f"__off{n}" for n in measures])
+    if plain:
+        local = F.col(_LOCAL) + 1
+    else:
+        running = Window.partitionBy(_PID).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        local = F.sum(w).over(running)
+    return (
+        tagged.join(F.broadcast(offsets), _PID)
+        .withColumn(_POS, F.col(_OFFSET) + local)
+        .drop(_PID, _LOCAL, _OFFSET)
+    )
 
 
 def global_row_number(
