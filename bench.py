@@ -28,9 +28,10 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus * 2)))
     spark = build_session(
         master=f"local[{cpus}]",
-        shuffle_partitions=cpus * 2,
+        shuffle_partitions=partitions,
         app_name="salescope-bench",
         extra={"spark.driver.memory": "16g"},
     )
