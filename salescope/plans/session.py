@@ -67,14 +67,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Order: the directory already set on the context, then the session's
     ``spark.checkpoint.dir``; failing both, a new scratch folder, but only in
     local mode (a machine-local folder is not fault tolerant on a cluster).
+    Under Spark Connect there is no context on the client: the server's
+    ``spark.checkpoint.dir`` must be set.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: checkpointing is configured on the server
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on the Spark Connect server") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
@@ -86,3 +92,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="salescope-ckpt-", dir="/tmp")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+def session_key(spark: SparkSession) -> str:
+    """An identifier of the session's application (a client-side id under
+    Spark Connect)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return f"connect-{id(spark)}"

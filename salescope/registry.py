@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from salescope.operators import cumulative, explore, performance, quality, rank, report, segment, share
 from salescope.plans.model import CrmModel
+from salescope.plans.session import session_key
 from salescope.sources.star import FOCAL_AGENT, HOME_COUNTRY, from_star
 
 # Parameter of the threshold analysis on the mapping (see FIXTURES.md).
@@ -113,7 +114,7 @@ _MODELS: dict[tuple[str, str], CrmModel] = {}
 def model_for(spark: SparkSession, sf_dir: str) -> CrmModel:
     """The star model of ``sf_dir``, built once per application and directory
     (a model holds lazy plans only; analyses share it)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (session_key(spark), sf_dir)
     if key not in _MODELS:
         _MODELS[key] = from_star(spark, sf_dir)
     return _MODELS[key]
