@@ -45,20 +45,33 @@ def build_session(
     return spark
 
 
-# Settings for a large cluster (about 100 TB of deals).  AQE sizes shuffle
-# partitions at run time from a generous initial count; skewed join
-# partitions are split; broadcast stays behind the planner's size check.
-CLUSTER_CONF = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.shuffle.partitions": "20000",
-    "spark.sql.autoBroadcastJoinThreshold": "64m",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-}
+def cluster_conf(largest_shuffle_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large cluster, sized from the largest shuffle of a run.
+
+    AQE can merge small shuffle partitions but cannot split them (skewed join
+    partitions aside), so the initial partition count must come from the
+    largest shuffle: ``largest_shuffle_bytes / partition_bytes``, at least
+    2,000, at most 100,000.  At about 100 TB of deals the fact join shuffles
+    some 25 TB (line items and orders, pruned to the used columns): about
+    100,000 partitions of 256 MB.  Skewed join partitions are split; broadcast
+    stays behind the planner's size check.
+    """
+    partitions = max(2000, min(100_000, -(-largest_shuffle_bytes // partition_bytes)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }
+
+
+# Settings for about 100 TB of deals (see cluster_conf).
+CLUSTER_CONF = cluster_conf(25 << 40)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
