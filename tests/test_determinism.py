@@ -11,7 +11,21 @@ from salescope.sources.star import from_star
 from tests.conftest import rows
 
 SF = "/root/testdata/sf0.001"
-NAMES = ["agent_tier", "agent_segment", "top10_agents_win_rate", "sector_pareto", "sales_insights_view", "product_numbering"]
+NAMES = [
+    "agent_tier",
+    "agent_segment",
+    "agent_revenue_rank",
+    "top10_agents_value",
+    "top10_agents_win_rate",
+    "sector_pareto",
+    "sector_performance",
+    "sales_insights_view",
+    "agent_month_insights",
+    "product_numbering",
+    "threshold_date",
+    "cumulative_deals_by_product",
+    "new_accounts_by_month",
+]
 
 
 @pytest.mark.parametrize("name", NAMES)
