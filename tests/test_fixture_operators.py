@@ -340,3 +340,15 @@ def test_ntile_sizes_and_focal_split(crm):
     deals = {p: n for p, _, n in rows(explore.magnitude(crm, "product"))}
     for p, f, o, _ in rows(cumulative.focal_agent_share(crm, "Avery Stone")):
         assert f + o == deals[p]
+
+
+def test_no_won_deals(spark):
+    from tests.fixture_crm import frames
+    from salescope.sources.crm import model_from_frames
+
+    sales, teams, products, accounts = frames(spark)
+    model = model_from_frames(sales.where("deal_stage <> 'Won'"), teams, products, accounts)
+    assert rank.agent_tier(model).count() == 0
+    assert report.sales_insights_view(model).count() == 0
+    assert share.series_share(model).count() == 0
+    assert dict(rows(explore.kpi_measures(model)))["qty sold"] == 0.0

@@ -108,3 +108,12 @@ def test_hot_group_is_spread_over_partitions(spark):
     assert max(sizes) <= 2 * n / 12  # the hot third is split, not one task
     hot_parts = tagged.where("g = 'hot'").select(_PID).distinct().count()
     assert hot_parts >= 3
+
+
+def test_empty_inputs(spark):
+    df = spark.createDataFrame([], "id long, g string, v long")
+    order = [F.col("id").asc()]
+    assert global_row_number(df, order).count() == 0
+    assert global_ntile(df, 4, order).count() == 0
+    assert global_rank(df, ["v"], [False]).count() == 0
+    assert running_within(df, ["g"], order, sums={"c": "v"}, lags={"p": "v"}).count() == 0
