@@ -51,13 +51,13 @@ def focal_agent_share(model: CrmModel, agent: str) -> DataFrame:
     """``(product, focal_deals, other_deals, focal_pct)``: won deals of one agent
     against all others, per product (deals with no agent count as others).
 
-    The agent is matched on the fact's own columns (see
-    :meth:`CrmModel.label_equals`), so deals aggregate straight to products.
+    The agent is matched on the fact's own key (see
+    :meth:`CrmModel.with_label_flag`: the agent's keys are broadcast behind a
+    size check), so deals aggregate straight to products.
     """
     fact = model.fact((WON,))
-    is_focal = F.coalesce(model.label_equals("sales_agent", agent, fact.columns), F.lit(False))
     grouped = (
-        fact.select("product", is_focal.alias("__focal"))
+        model.with_label_flag(fact, "sales_agent", agent, "__focal")
         .groupBy("product")
         .agg(F.count_if(F.col("__focal")).alias("focal_deals"), F.count_if(~F.col("__focal")).alias("other_deals"))
     )

@@ -144,22 +144,31 @@ class CrmModel:
                 return d
         raise ValueError(f"unknown column {column!r}; expected one of {FULL_SALES_COLUMNS}")
 
-    def label_equals(self, column: str, value: object, fact_columns: Sequence[str] | None = None) -> Column:
-        """Predicate over fact columns equivalent to ``<column> = value`` on the
-        deal frame, for a label held by a dimension (e.g. an agent name when
-        the fact carries the agent key).
-
-        The keys whose label equals ``value`` are collected once by a scalar
-        subquery (as many keys as rows carry that one label) and tested with
-        ``array_contains``: no join with the fact.  NULL and unmatched keys
-        are never equal, as in the join.
+    def with_label_flag(
+        self, df: DataFrame, column: str, value: object, name: str, broadcast_limit: int = 100_000
+    ) -> DataFrame:
+        """``df`` (fact columns) plus a boolean ``name``: ``<column> = value`` on
+        the deal frame, where ``column`` may be a label held by a dimension
+        (an agent name when the fact carries the agent key).
+
+        The dimension keys carrying that label are counted first (one filtered
+        scan of the dimension).  Up to ``broadcast_limit`` keys they are
+        broadcast to the fact, which is then flagged without a shuffle; beyond
+        it the flag comes from an ordinary join.  NULL and unmatched keys are
+        never equal, as in the join of the deal frame.
         """
-        columns = set(fact_columns) if fact_columns is not None else set(self.fact().columns)
-        d = self._supplier_of(column, columns)
-        if d is None:
-            return F.col(column) == F.lit(value)
-        keys = d.frame.where(F.col(column) == F.lit(value)).agg(F.collect_set(d.key)).scalar()
-        return F.array_contains(keys, F.col(d.key))
+        if column in df.columns:
+            return df.withColumn(name, F.coalesce(F.col(column) == F.lit(value), F.lit(False)))
+        d = self._supplier_of(column, set(df.columns))
+        keys = d.frame.where(F.col(column) == F.lit(value)).select(d.key).distinct()
+        hits = keys.withColumn("__hit", F.lit(True))
+        if keys.count() <= broadcast_limit:
+            hits = F.broadcast(hits)
+        return (
+            df.join(hits, on=d.key, how="left")
+            .withColumn(name, F.coalesce(F.col("__hit"), F.lit(False)))
+            .drop("__hit")
+        )
 
     # -- denormalised frame -------------------------------------------------
     def frame(
