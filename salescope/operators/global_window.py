@@ -220,32 +220,34 @@ def running_within(
         local = local.withColumn(f"__ll_{name}", F.lag(F.col(c)).over(w))
     local = local.withColumn("__first", F.row_number().over(w) == 1)
 
-    # per partition, from the checkpointed rows (partial aggregates by
-    # partition id, no shuffle of the rows): the first group, the last row's
-    # group and values, and the sums of the last group's rows
+    # per partition, from the checkpointed rows (no shuffle of the rows: one
+    # partial aggregate by (partition, group), then one by partition): the
+    # first group, and the last group with its sums and last values
     group = F.struct(*[F.col(k) for k in keys])
-    last_row = F.struct(group.alias("k"), *[F.col(c).alias(f"v_{name}") for name, c in lags.items()])
-    ends = tagged.groupBy(_PID).agg(
-        F.min_by(group, F.col(_LOCAL)).alias("__fk"), F.max_by(last_row, F.col(_LOCAL)).alias("__last")
+    per_group = tagged.groupBy(_PID, *keys).agg(
+        F.min(_LOCAL).alias("__lo"),
+        F.max(_LOCAL).alias("__hi"),
+        *[F.sum(F.coalesce(F.col(c), F.lit(0))).alias(f"__ts_{c}") for c in value_cols],
+        *[F.count(F.col(c)).alias(f"__tn_{c}") for c in value_cols],
+        *[F.max_by(F.col(c), F.col(_LOCAL)).alias(f"__tv_{name}") for name, c in lags.items()],
     )
-    tails = (
-        tagged.join(F.broadcast(ends.select(_PID, F.col("__last.k").alias("__lk"))), _PID)
-        .where(group.eqNullSafe(F.col("__lk")))
-        .groupBy(_PID)
-        .agg(
-            *[F.sum(F.coalesce(F.col(c), F.lit(0))).alias(f"__ts_{c}") for c in value_cols],
-            *[F.count(F.col(c)).alias(f"__tn_{c}") for c in value_cols],
-        )
+    last_group = F.struct(
+        group.alias("k"),
+        *[F.col(f"__ts_{c}").alias(f"s_{c}") for c in value_cols],
+        *[F.col(f"__tn_{c}").alias(f"n_{c}") for c in value_cols],
+        *[F.col(f"__tv_{name}").alias(f"v_{name}") for name in lags],
+    )
+    stats = per_group.groupBy(_PID).agg(
+        F.min_by(group, F.col("__lo")).alias("__fk"), F.max_by(last_group, F.col("__hi")).alias("__last")
     )
-    stats = ends.join(tails, _PID, "left") if value_cols else ends
     # sums of a group over all partitions so far that end in it
     by_last = Window.partitionBy(F.col("__last.k")).orderBy(_PID).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     stats = stats.select(
         _PID,
         "__fk",
         "__last",
-        *[F.sum(F.col(f"__ts_{c}")).over(by_last).alias(f"__is_{c}") for c in value_cols],
-        *[F.sum(F.col(f"__tn_{c}")).over(by_last).alias(f"__in_{c}") for c in value_cols],
+        *[F.sum(F.col(f"__last.s_{c}")).over(by_last).alias(f"__is_{c}") for c in value_cols],
+        *[F.sum(F.col(f"__last.n_{c}")).over(by_last).alias(f"__in_{c}") for c in value_cols],
     )
     by_pid = Window.orderBy(_PID)
     carries = stats.select(
