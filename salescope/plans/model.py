@@ -63,7 +63,7 @@ FULL_SALES_COLUMNS = (
 )
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Dimension:
     """One dimension of the star.
 
@@ -101,7 +101,7 @@ _MEASURES: dict[str, tuple[Callable[[], Column], Callable[[str], Column]]] = {
 MEASURES = tuple(_MEASURES)
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class CrmModel:
     """Fact builder plus dimensions.
 
@@ -226,7 +226,7 @@ class CrmModel:
             if c in derived:
                 continue
             d = self._supplier_of(c, fact_columns)
-            if d is not None and d not in dims:
+            if d is not None and all(d.name != seen.name for seen in dims):
                 dims.append(d)
 
         first_keys: list[Column] = []
