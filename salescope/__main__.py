@@ -46,6 +46,7 @@ def parse(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--threshold", type=int, required=True, help="running revenue of the threshold dates")
     ap.add_argument("--top-n", type=int, default=10)
     ap.add_argument("--tiles", type=int, default=4)
+    ap.add_argument("--kpi-type", default="decimal(38,2)", help="type of the KPI value column")
     ap.add_argument("--analyses", default="", help="comma-separated names (default: all)")
     ap.add_argument("--repair", action="append", default=[], help="COLUMN:BAD=GOOD, applied to the deals")
     ap.add_argument("--snapshot", default=None, help="folder for the materialised deal frame")
@@ -81,7 +82,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         model = from_snapshot(spark, args.snapshot, model)
 
     params = Params(
-        home=args.home, focal_agent=args.focal_agent, threshold=args.threshold, top_n=args.top_n, tiles=args.tiles
+        home=args.home,
+        focal_agent=args.focal_agent,
+        threshold=args.threshold,
+        top_n=args.top_n,
+        tiles=args.tiles,
+        kpi_type=args.kpi_type,
     )
     catalog = analyses(model, params)
     wanted = [a for a in args.analyses.split(",") if a] or list(catalog)

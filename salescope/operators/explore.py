@@ -102,13 +102,17 @@ def month_of_year_sales(model: CrmModel) -> DataFrame:
 KPI_NAMES = ("total sales", "qty sold", "avg price", "avg nego days", "deal win %")
 
 
-def kpi_measures(model: CrmModel) -> DataFrame:
+def kpi_measures(model: CrmModel, value_type: str = "double") -> DataFrame:
     """``(measure_Name, measure_value)``: five KPIs from one pass over the deals.
 
     total sales and avg price are over all deals (open deals have no value
     and are skipped by the average, lost deals count as 0); qty sold counts
     won deals; the win percentage is over closed (won or lost) deals.
     Averages are integer averages truncated toward zero.
+
+    The five values share one column of ``value_type``.  ``double`` is exact
+    up to 2**53; ``decimal(38,2)`` keeps every measure exact at any scale
+    (total sales of some 10**16 do not fit a double exactly).
     """
     won = F.col("deal_stage") == WON
     closed = F.col("deal_stage").isin(*CLOSED_STAGES)
@@ -130,7 +134,7 @@ def kpi_measures(model: CrmModel) -> DataFrame:
     ]
     rows = F.array(
         *[
-            F.struct(F.lit(name).alias("measure_Name"), v.cast("double").alias("measure_value"))
+            F.struct(F.lit(name).alias("measure_Name"), v.cast(value_type).alias("measure_value"))
             for name, v in zip(KPI_NAMES, values, strict=True)
         ]
     )

@@ -34,6 +34,7 @@ class Params:
     threshold: int
     top_n: int = 10
     tiles: int = 4
+    kpi_type: str = "double"
 
 
 def _catalog(p: Params) -> dict[str, Callable[[CrmModel], DataFrame]]:
@@ -57,7 +58,7 @@ def _catalog(p: Params) -> dict[str, Callable[[CrmModel], DataFrame]]:
         "deals_by_stage": explore.deals_by_stage,
         "date_bounds": explore.date_bounds,
         "month_of_year_sales": explore.month_of_year_sales,
-        "kpi_measures": explore.kpi_measures,
+        "kpi_measures": lambda m: explore.kpi_measures(m, value_type=p.kpi_type),
         **{
             f"magnitude_{d}": (lambda m, d=d: explore.magnitude(m, d))
             for d in explore.MAGNITUDE_DIMENSIONS

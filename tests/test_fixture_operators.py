@@ -352,3 +352,10 @@ def test_no_won_deals(spark):
     assert report.sales_insights_view(model).count() == 0
     assert share.series_share(model).count() == 0
     assert dict(rows(explore.kpi_measures(model)))["qty sold"] == 0.0
+
+
+def test_kpi_measures_exact_decimal(crm):
+    from decimal import Decimal
+
+    got = dict(rows(explore.kpi_measures(crm, value_type="decimal(38,2)")))
+    assert got["total sales"] == Decimal("3053.00") and got["deal win %"] == Decimal("85.71")
