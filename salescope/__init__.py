@@ -17,5 +17,16 @@ streaming   nothing to build (the analysed workload has no streams)
 """
 
 from salescope.plans.model import FULL_SALES_COLUMNS, CrmModel, Dimension
+from salescope.registry import Params, analyses
+from salescope.sources import from_star, load_crm, model_from_frames
 
-__all__ = ["CrmModel", "Dimension", "FULL_SALES_COLUMNS"]
+__all__ = [
+    "FULL_SALES_COLUMNS",
+    "CrmModel",
+    "Dimension",
+    "Params",
+    "analyses",
+    "from_star",
+    "load_crm",
+    "model_from_frames",
+]
