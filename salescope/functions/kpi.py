@@ -20,6 +20,7 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+
 def hundred() -> Column:
     """The decimal literal ``100.0`` (a double literal would make the division inexact)."""
     return F.lit(Decimal("100.0"))
@@ -65,7 +66,3 @@ def ratio(part: Column | str, whole: Column | str, scale: int = 2) -> Column:
 def n2_percent(value: Column | str) -> Column:
     """``FORMAT(x, 'N2') + '%'``: thousands separators, half away from zero."""
     return F.concat(F.format_number(F.round(_col(value), 2), 2), F.lit("%"))
-
-
-def is_won(stage: Column | str = "deal_stage") -> Column:
-    return _col(stage) == F.lit("Won")

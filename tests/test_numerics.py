@@ -62,3 +62,11 @@ def test_oracle_formulas_match_exact_decimals():
         assert p == _round(100 * da / db, 2), (a, b)
         assert r == _round(da / db, 2), (a, b)
         assert g == _round((da - db) * 100 / db, 6), (a, b)
+
+
+def test_tsql_avg_truncates_and_skips_nulls(spark):
+    from salescope.functions.kpi import tsql_avg
+
+    df = spark.createDataFrame([(1, 7), (1, 8), (1, None), (2, -7), (2, -8), (3, None)], "g int, v long")
+    got = {r.g: r.a for r in df.groupBy("g").agg(tsql_avg("v").alias("a")).collect()}
+    assert got == {1: 7, 2: -7, 3: None}  # 15/2 -> 7, -15/2 -> -7 (toward zero), no values -> NULL
