@@ -359,3 +359,13 @@ def test_kpi_measures_exact_decimal(crm):
 
     got = dict(rows(explore.kpi_measures(crm, value_type="decimal(38,2)")))
     assert got["total sales"] == Decimal("3053.00") and got["deal win %"] == Decimal("85.71")
+
+
+def test_focal_share_unknown_agent(spark, crm):
+    from salescope.sources.star import from_star
+
+    got = rows(cumulative.focal_agent_share(crm, "Nobody Here"))
+    assert got and all(f == 0 and pct == 0.0 for _, f, _, pct in got)
+    star = from_star(spark, "/root/testdata/sf0.001")  # key-labelled model: empty key set
+    got = rows(cumulative.focal_agent_share(star, "Nobody Here"))
+    assert got and all(f == 0 for _, f, _, _ in got)
