@@ -65,7 +65,9 @@ def _range_checkpoint(df: DataFrame, order: Sequence[Column], partitions: int |
     shuffle output.  The cache is dropped once the checkpoint is written.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    source = df.persist(StorageLevel.MEMORY_AND_DISK)
+    level = df.storageLevel
+    cached_by_caller = level.useMemory or level.useDisk
+    source = df if cached_by_caller else df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # Without an explicit count AQE may coalesce the range partitions; they
         # stay contiguous slices of the order, which is all the numbering needs.
@@ -81,7 +83,8 @@ def _range_checkpoint(df: DataFrame, order: Sequence[Column], partitions: int |
             )
         return tagged.checkpoint(eager=True)
     finally:
-        source.unpersist()
+        if not cached_by_caller:  # leave a cache the caller made alone
+            source.unpersist()
 
 
 def _positions(df: DataFrame, order: Sequence[Column], weight: str | None, partitions: int | None) -> DataFrame:

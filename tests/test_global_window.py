@@ -117,3 +117,14 @@ def test_empty_inputs(spark):
     assert global_ntile(df, 4, order).count() == 0
     assert global_rank(df, ["v"], [False]).count() == 0
     assert running_within(df, ["g"], order, sums={"c": "v"}, lags={"p": "v"}).count() == 0
+
+
+def test_callers_cache_is_left_alone(spark):
+    df = spark.range(100).withColumnRenamed("id", "x").cache()
+    df.count()
+    global_row_number(df, [F.col("x").asc()]).count()
+    assert df.storageLevel.useMemory  # still cached
+    fresh = spark.range(50).withColumnRenamed("id", "x")
+    global_row_number(fresh, [F.col("x").asc()]).count()
+    assert not fresh.storageLevel.useMemory  # our temporary cache was dropped
+    df.unpersist()
