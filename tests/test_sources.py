@@ -86,3 +86,19 @@ def test_snapshot_round_trip_and_views(spark):
     assert "t_full_sales_data" in names
     n = spark.sql("SELECT COUNT(*) FROM t_full_sales_data WHERE deal_stage = 'Won'").collect()[0][0]
     assert n == model.frame(["deal_stage"], stages=("Won",)).count()
+
+
+def test_load_crm_parquet(spark):
+    from salescope.operators import share
+    from tests.fixture_crm import frames
+
+    folder = tempfile.mkdtemp(prefix="salescope-pq-", dir="/tmp")
+    paths = {}
+    for name, df in zip(("sales", "teams", "products", "accounts"), frames(spark), strict=True):
+        paths[name] = os.path.join(folder, name)
+        df.write.parquet(paths[name])
+    model = load_crm(spark, fmt="parquet", **paths)
+    assert dict(model.frame().dtypes)["revenue"] == "decimal(12,2)"
+    # unrepaired: the misspelt product has no series and forms the NULL group
+    got = {s: t for s, t, _ in rows(share.series_share(model))}
+    assert got[None] == 250 and got["Alpha"] == 1002
