@@ -9,6 +9,8 @@ import __spark_entry__ as entry_module
 from tools.compare_oracle import TABLES, canon
 
 SF = "/root/testdata/sf0.001"
+# Spark type name -> DuckDB type name of the same values
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
 QUERIES = entry_module.queries()
 SQL = entry_module.oracle_sql()
 
@@ -34,6 +36,8 @@ def test_query_matches_oracle(spark, con, name):
     want = cur.fetchall()
     assert sorted(df.columns) == sorted(cols)
     assert canon(df.columns, got) == canon(cols, want)
+    duck_types = dict(zip(cols, (str(t) for t in con.sql(SQL[name]).types), strict=True))
+    assert {c: TYPES.get(t, t.upper()) for c, t in df.dtypes} == duck_types
 
 
 def test_entry_smoke(spark):
