@@ -1,16 +1,13 @@
 """Session helpers: a tuned local session for tests/bench, and the
 checkpoint directory used to cut lineage.
 
-On a cluster the checkpoint directory is whatever the cluster names in
-``spark.checkpoint.dir`` (a shared, fault-tolerant file system).  Only when
-that setting is missing *and* Spark runs in local mode do we fall back to a
-fresh scratch folder, as tests need.
+The checkpoint directory is whatever the cluster names in
+``spark.checkpoint.dir`` (a shared, fault-tolerant file system); a session
+without that setting gets a folder in its SQL warehouse.
 """
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -74,37 +71,33 @@ def cluster_conf(largest_shuffle_bytes: int, partition_bytes: int = 256 << 20) -
 CLUSTER_CONF = cluster_conf(25 << 40)
 
 
+def checkpoint_root(spark: SparkSession) -> str:
+    """The shared folder for data that outlives a job: ``spark.checkpoint.dir``
+    as the cluster names it, else a folder in the SQL warehouse (which driver
+    and executors share by definition)."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    return configured.rstrip("/")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory, setting it only if unset.
 
-    Order: the directory already set on the context, then the session's
-    ``spark.checkpoint.dir``; failing both, a new scratch folder, but only in
-    local mode (a machine-local folder is not fault tolerant on a cluster).
-    Under Spark Connect there is no context on the client: the server's
-    ``spark.checkpoint.dir`` must be set.
+    Order: the directory already set on the context, then
+    :func:`checkpoint_root`.  Under Spark Connect there is no context on the
+    client: the server's ``spark.checkpoint.dir`` applies.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: checkpointing is configured on the server
-        if not configured:
-            raise RuntimeError("spark.checkpoint.dir is not set on the Spark Connect server") from None
-        return configured
+        return checkpoint_root(spark)
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; set it to a shared folder "
-            "(HDFS/S3/ABFS) before running operators that checkpoint"
-        )
-    path = tempfile.mkdtemp(prefix="salescope-ckpt-", dir="/tmp")
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir() or path
+    root = checkpoint_root(spark)
+    sc.setCheckpointDir(root)
+    return sc.getCheckpointDir() or root
 
 
 def session_key(spark: SparkSession) -> str:
