@@ -99,7 +99,7 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def _scan(docs: DataFrame, rows: list[tuple[int, int, bytes, str]]) -> DataFrame:
     """``docs`` with the hits of one block added to those found before."""
     rest = [c for c in docs.columns if c not in _FOUND]
-    before = [c for c in _FOUND if c in docs.columns]
+    before = [c for c in ("hit_spans", "items") if c in docs.columns]
     schema = docs.select(*rest).withColumns({c: F.lit(None).cast(t) for c, t in _FOUND.items()}).schema
     shared = docs.sparkSession.sparkContext.broadcast(rows)
     place = rest.index("text")
