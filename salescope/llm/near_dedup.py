@@ -21,7 +21,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -75,8 +75,13 @@ def sketch(s: np.ndarray) -> np.ndarray:
     return out
 
 
+def _row() -> F.Column:
+    """A name for a document's row: the same for rows that repeat it."""
+    return F.concat_ws(":", F.col("doc_id").cast("string"), F.hex(F.xxhash64("text")))
+
+
 def _sketches(docs: DataFrame, k: int) -> DataFrame:
-    source = docs.select("doc_id", F.xxhash64("text").alias("sum"), "text")
+    source = docs.select("doc_id", _row().alias("row"), "text")
     schema = source.drop("text").withColumns({"n": F.lit(0).cast("long"), "key": F.lit(b""), "sketch": F.lit(b"")}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,7 +95,7 @@ def _sketches(docs: DataFrame, k: int) -> DataFrame:
                     pa.array([set_key(s) for s in sets], pa.binary()),
                     pa.array([sketch(s).tobytes() for s in sets], pa.binary()),
                 ],
-                names=["doc_id", "sum", "n", "key", "sketch"],
+                names=["doc_id", "row", "n", "key", "sketch"],
             )
 
     return source.mapInArrow(run, schema)
@@ -198,21 +203,18 @@ def spanning(rules, cids: np.ndarray, labels: np.ndarray, payload: list[pa.Array
     return cids[order][moved], cids[root][moved]
 
 
-def _compare(groups: DataFrame, rules) -> DataFrame:
-    """Edges ``(a, b)`` of rows ``(g, part, cid, label, home, *payload)``; a
-    group is one (g, part), of bounded size.  Groups are streamed from sorted
-    partitions, many to a task."""
+def _compare(rows: DataFrame, attach: Callable[[DataFrame], DataFrame], rules) -> DataFrame:
+    """Edges ``(a, b)`` of rows ``(g, part, cid, label, home)``; a group is one
+    (g, part), of bounded size.  ``attach`` brings what the rules compare.
+    Groups are streamed from sorted partitions, many to a task."""
     names = ["g", "part", "cid", "label", "home", *rules.columns]
-    # label null: pairs are compared whatever their label
-    source = groups.select(*names).repartition("g", "part").sortWithinPartitions("g", "part")
+    source = attach(rows).select(*names).repartition("g", "part").sortWithinPartitions("g", "part")
 
     def edges(batch: pa.RecordBatch, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
         cut = batch.slice(a, b - a)
-        cids, pick = np.unique(cut.column(2).to_numpy(), return_index=True)
-        if len(cids) < 2:
-            return cids[:0], cids[:0]
-        cut = cut.take(pa.array(pick))
-        return spanning(rules, cids, cut.column(3).to_numpy(), [cut.column(5 + i) for i in range(len(rules.columns))], np.asarray(cut.column(4).to_numpy(zero_copy_only=False), bool))
+        home = np.asarray(cut.column(4).to_numpy(zero_copy_only=False), bool)
+        payload = [cut.column(5 + i) for i in range(len(rules.columns))]
+        return spanning(rules, cut.column(2).to_numpy(), cut.column(3).to_numpy(), payload, home)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.RecordBatch | None = None
@@ -238,34 +240,39 @@ def _compare(groups: DataFrame, rules) -> DataFrame:
     return source.mapInArrow(run, "a long, b long")
 
 
-def forest(members: DataFrame, rules, most: int, most_size: int, pivots: int = 16) -> DataFrame:
+def forest(
+    members: DataFrame, attach: Callable[[DataFrame], DataFrame], rules, most: int, most_size: int, pivots: int = 16
+) -> DataFrame:
     """Edges of a spanning forest of the links inside each group of
-    ``members`` (g, cid, size, *payload).
-
-    Groups of at most ``most`` classes and ``most_size`` of size are compared
-    as they are.  A larger one is cut into blocks by hash, each with the
-    group's pivots; classes that this leaves outside the group's largest
-    component are compared with every other block.  All pairs of different
-    components are compared in the end, by tasks of bounded size.
+    ``members`` (g, cid, size, and columns that ``attach`` needs).
+
+    Groups of the same members are compared once; groups of at most ``most``
+    classes and ``most_size`` of size as they are.  A larger one is cut into
+    blocks by hash, each with the group's pivots; classes that this leaves
+    outside the group's largest component are compared with every other block.
+    All pairs of different components are compared in the end, by tasks of
+    bounded size.
     """
-    sizes = members.groupBy("g").agg(F.count(F.lit(1)).alias("c"), F.sum("size").alias("s")).where("c > 1")
+    sizes = members.groupBy("g").agg(
+        F.count(F.lit(1)).alias("c"),
+        F.sum("size").alias("s"),
+        F.bit_xor(F.xxhash64("cid")).alias("x"),
+        F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("y"),
+    )
     blocks = F.ceil(F.greatest(F.col("c") / most, F.col("s") / most_size)).cast("int")
+    sizes = sizes.where("c > 1").groupBy("c", "x", "y").agg(F.min("g").alias("g"), F.max("s").alias("s"))
     sizes = materialise(sizes.select("g", blocks.alias("blocks")), "sizes")
-    rows = members.join(sizes, "g").withColumns(
-        {
-            "part": F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"),
-            "label": F.col("cid"),
-            "home": F.lit(False),
-        }
-    )
-    if not sizes.where("blocks > 1").limit(1).count():
-        return materialise(_compare(rows, rules), "links")
-    rows = materialise(rows, "rows")
+    part = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
+    rows = materialise(members.join(sizes, "g").withColumns({"part": part, "label": F.col("cid"), "home": F.lit(False)}), "rows")
     large = rows.where("blocks > 1")
+    if not large.limit(1).count():
+        return materialise(_compare(rows, attach, rules), "links")
     first = large.where(F.col("part") < pivots).groupBy("g", "part").agg(F.min("cid").alias("cid")).select("g", "cid")
-    pivot = large.join(first, ["g", "cid"], "left_semi")
     everywhere = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    found = materialise(_compare(rows.unionByName(pivot.withColumn("part", everywhere)), rules), "links")
+    home = F.col("part")
+    pivot = large.join(first, ["g", "cid"], "left_semi").withColumn("to", everywhere).where(F.col("to") != home)
+    pivot = pivot.withColumn("part", F.col("to")).drop("to")
+    found = materialise(_compare(rows.unionByName(pivot), attach, rules), "links")
     roots = components(found).select(F.col("v").alias("cid"), "root")
     labelled = large.join(roots, "cid", "left").withColumn("label", F.coalesce("root", "cid")).drop("root")
     counts = labelled.groupBy("g", "label").agg(F.count(F.lit(1)).alias("n"))
@@ -280,7 +287,7 @@ def forest(members: DataFrame, rules, most: int, most_size: int, pivots: int = 1
     at_home = labelled.join(over, "g").withColumn("guest", F.explode(F.sequence(F.lit(0), F.col("guests") - 1))).withColumn("home", F.lit(True))
     guests = rest.join(over, "g").withColumn("guest", visit).withColumn("part", everywhere)
     both = at_home.unionByName(guests).withColumn("part", F.col("part") * F.col("guests") + F.col("guest"))
-    return materialise(found.unionAll(_compare(both, rules)), "links")
+    return materialise(found.unionAll(_compare(both, attach, rules)), "links")
 
 
 # --- the operator --------------------------------------------------------------------
@@ -292,7 +299,7 @@ def near_duplicates(
     percent: int = 80,
     trees: int = 20,
     levels: int = 4,
-    leaf: int = 512,
+    leaf: int = 4096,
     leaf_shingles: int = 2_000_000,
 ) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` for every row of ``docs``.
@@ -307,9 +314,9 @@ def near_duplicates(
     """
     similarity = percent / 100
     rows = materialise(_sketches(docs, shingle), "sketches")
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "sum"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
     some = rows.where("n > 0").groupBy("key").agg(first.alias("first"), F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch"))
-    some = some.select("key", "first.doc_id", "first.sum", "n", "sketch", F.monotonically_increasing_id().alias("cid"))
+    some = some.select("key", "first.doc_id", "first.row", "n", "sketch", F.monotonically_increasing_id().alias("cid"))
     classes = materialise(some, "classes")
 
     # one byte of each token, 0 staying 0
@@ -326,14 +333,18 @@ def near_duplicates(
             break
         nodes = _children(shared.where(F.col("c") > leaf).select("g", "cid").join(classes.select("cid", "sketch"), "cid"), similarity, 1)
 
-    members = leaves.join(small, "cid").withColumn("size", F.lit(0).cast("long"))
-    candidates = components(forest(members, SketchLinks(similarity), leaf, leaf_shingles))
-    held = classes.select(F.col("cid").alias("v"), F.col("doc_id").alias("id"), F.col("sum").alias("of_text"), "n")
-    held = materialise(candidates.join(held, "v"), "candidates")
-    own = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("of_text") == F.xxhash64("text"))
-    texts = docs.select("doc_id", "text").join(held, own).dropDuplicates(["v"])
-    members = texts.select(F.col("root").alias("g"), F.col("v").alias("cid"), F.col("n").alias("size"), "text")
-    linked = components(forest(materialise(members, "texts"), SetLinks(shingle, percent), leaf, leaf_shingles))
+    members = leaves.withColumn("size", F.lit(0).cast("long"))
+    sketched = forest(members, lambda rows: rows.join(small, "cid"), SketchLinks(similarity), leaf, leaf_shingles)
+    held = classes.select(F.col("cid").alias("v"), "row", F.col("n").alias("size"))
+    members = components(sketched).join(held, "v").select(F.col("root").alias("g"), F.col("v").alias("cid"), "size", "row")
+
+    def with_texts(rows: DataFrame) -> DataFrame:
+        # the members grow with the corpus, so the join is planned alike at
+        # every size; rows that repeat a document meet here and are one
+        texts = docs.select(_row().alias("row"), "text").join(rows.hint("merge"), "row")
+        return texts.dropDuplicates(["row", "g", "part", "cid"])
+
+    linked = components(forest(members, with_texts, SetLinks(shingle, percent), leaf, leaf_shingles))
 
     ids = linked.join(classes.select(F.col("cid").alias("v"), "doc_id"), "v")
     lowest = ids.groupBy("root").agg(F.min("doc_id").alias("component_id"))
