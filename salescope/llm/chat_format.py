@@ -151,21 +151,20 @@ def _levels(calls: DataFrame) -> DataFrame:
     needs = calls.select(*_KEY, F.explode("depends_on").alias("need")).distinct()
     known = ids.select("conv_id", F.col("call_id").alias("need"))
     needs = materialise(needs.join(known, ["conv_id", "need"], "left_semi"), "needs")
-    waiting = materialise(ids, "waiting")
-    done = None
+    ready = ids.join(needs, _KEY, "left_anti")
+    done = ready.withColumn("level", F.lit(0))
     level = 0
     while True:
-        ready = waiting.join(needs, _KEY, "left_anti").withColumn("level", F.lit(level))
-        ready = materialise(ready, "ready")
+        taken = ready.select("conv_id", F.col("call_id").alias("need"))
+        rest = materialise(needs.join(taken, ["conv_id", "need"], "left_anti"), "needs")
+        # those that waited, and wait no more
+        ready = materialise(needs.select(*_KEY).distinct().join(rest, _KEY, "left_anti"), "ready")
         if not ready.limit(1).count():
             break
-        done = ready if done is None else done.unionByName(ready)
-        taken = ready.select("conv_id", F.col("call_id").alias("need"))
-        needs = materialise(needs.join(taken, ["conv_id", "need"], "left_anti"), "needs")
-        waiting = materialise(waiting.join(ready, _KEY, "left_anti"), "waiting")
         level += 1
-    rest = waiting.withColumn("level", F.lit(None).cast("int"))
-    return rest if done is None else done.unionByName(rest)
+        done = done.unionByName(ready.withColumn("level", F.lit(level)))
+        needs = rest
+    return done.unionByName(rest.select(*_KEY).distinct().withColumn("level", F.lit(None).cast("int")))
 
 
 def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
@@ -203,7 +202,9 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
     known = calls.select("conv_id", F.col("call_id").alias("need")).distinct()
     missing = calls.select(*_KEY, "turn", "pos", F.explode("depends_on").alias("need")).join(known, ["conv_id", "need"], "left_anti")
     missing = missing.groupBy(*_KEY, "turn", "pos").agg(F.array_sort(F.collect_set("need")).alias("missing"))
-    out = linked.join(missing, [*_KEY, "turn", "pos"], "left")
+    # written before it is formatted: the plan of the joins ends here
+    out = materialise(linked.join(missing, [*_KEY, "turn", "pos"], "left").withColumn("status", status).drop("head", "slot"), "linked")
+    real = F.col("status") != "orphan"
     value = F.try_parse_json("arguments")
     source = F.to_json(value)
     errors = F.when(real, _errors(F.col("name"), source, value, schemas)).otherwise(F.array().cast("array<string>"))
@@ -213,7 +214,7 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
         F.col("level").alias("level"),
         F.col("name").alias("name"),
         F.try_parse_json("told.content").alias("result"),
-        status.alias("status"),
+        F.col("status"),
     )
     return out.select(
         *_KEY,
@@ -221,7 +222,7 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
         "pos",
         "level",
         "name",
-        status.alias("status"),
+        "status",
         errors.alias("errors"),
         F.coalesce("missing", F.array().cast("array<string>")).alias("missing"),
         F.coalesce("copies", F.lit(0)).cast("long").alias("copies"),

@@ -325,7 +325,7 @@ def _worst(model: ToxicityModel, texts: list[str]) -> np.ndarray:
 
 
 def train(
-    toxic: list[str], harmless: list[str], landmarks: int = 640, rounds: int = 5, least: int = 3, each: int = 3, hard: int = 1200
+    toxic: list[str], harmless: list[str], landmarks: int = 560, rounds: int = 5, least: int = 3, each: int = 3, hard: int = 1000
 ) -> ToxicityModel:
     """Fit the machine on texts labelled toxic and harmless.  Every fourth
     harmless text is kept for the threshold."""
@@ -370,8 +370,8 @@ def train(
     return ToxicityModel(table, float(best[len(best) // 2]), float(6 / max(1e-3, between)), tuple(marks))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, n_toxic: int, n_harmless: int) -> tuple[list[str], list[str]]:
-    """Texts of at most ``n_toxic`` toxic and ``n_harmless`` harmless
+def labelled_sample(docs: DataFrame, labels: DataFrame, n_toxic: int, n_harmless: int) -> DataFrame:
+    """``(toxic, text)`` of at most ``n_toxic`` toxic and ``n_harmless`` harmless
     documents, picked by a hash of the id; conflicting labels are left out."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("high")).where("toxic = high")
     picked = None
@@ -380,15 +380,29 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, n_toxic: int, n_harmless
         picked = some if picked is None else picked.unionAll(some)
     # so many ids at most; one text for each
     texts = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_id"))
-    rows = texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).collect()
-    return [r["text"] or "" for r in rows if r["toxic"] == 1], [r["text"] or "" for r in rows if r["toxic"] == 0]
+    return texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("toxic", "text")
 
 
-def fit(docs: DataFrame, labels: DataFrame, n_toxic: int = 1500, n_harmless: int = 6000, **parameters) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, n_toxic: int = 1200, n_harmless: int = 4800, **parameters) -> ToxicityModel:
     """Train on a bounded sample of the labelled rows: ``n_toxic`` and
-    ``n_harmless`` documents at most.  Without both labels nothing is toxic."""
-    toxic, harmless = labelled_sample(docs, labels, n_toxic, n_harmless)
-    return train(toxic, harmless, **parameters)
+    ``n_harmless`` documents at most, in one task on an executor; the driver
+    gets the weights alone.  Without both labels nothing is toxic."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts: dict[bool, list[str]] = {False: [], True: []}
+        for batch in batches:
+            for kind, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                texts[kind == 1].append(text or "")
+        m = train(texts[True], texts[False], **parameters)
+        row = {"weights": m.weights.tobytes(), "threshold": m.threshold, "slope": m.slope, "landmarks": list(m.landmarks)}
+        yield pa.RecordBatch.from_pylist([row], pa.schema([("weights", pa.binary()), ("threshold", pa.float64()), ("slope", pa.float64()), ("landmarks", pa.list_(pa.string()))]))
+
+    sample = labelled_sample(docs, labels, n_toxic, n_harmless).repartition(1)
+    rows = sample.mapInArrow(task, "weights binary, threshold double, slope double, landmarks array<string>").collect()
+    if not rows:
+        return ToxicityModel(np.zeros(1 << BITS))
+    r = rows[0]
+    return ToxicityModel(np.frombuffer(r["weights"], dtype=np.float64), r["threshold"], r["slope"], tuple(r["landmarks"]))
 
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
