@@ -13,7 +13,6 @@ plans       the data model (denormalised deal frame, join selection,
 functions   Column helpers with T-SQL numeric semantics (no UDFs)
 operators   the analyses: data quality, exploration, shares, rankings,
             cumulative, performance, segmentation, report
-streaming   nothing to build (the analysed workload has no streams)
 """
 
 from salescope.plans.model import FULL_SALES_COLUMNS, CrmModel, Dimension

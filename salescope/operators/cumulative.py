@@ -36,7 +36,7 @@ def cumulative_deals_by_product(model: CrmModel) -> DataFrame:
 def threshold_date(model: CrmModel, amount: int) -> DataFrame:
     """``(sales_agent, hit_date)``: first close date at which an agent's running
     won revenue reaches ``amount``; agents that never reach it are absent."""
-    daily = model.measures(["sales_agent", "close_date"], ("revenue",), stages=(WON,), cluster_by=["sales_agent"])
+    daily = model.measures(["sales_agent", "close_date"], ("revenue",), stages=(WON,))
     running = Window.partitionBy("sales_agent").orderBy("close_date")
     return (
         daily.withColumn("cum_revenue", F.sum("revenue").over(running))
@@ -52,8 +52,7 @@ def focal_agent_share(model: CrmModel, agent: str) -> DataFrame:
     against all others, per product (deals with no agent count as others).
 
     The agent is matched on the fact's own key (see
-    :meth:`CrmModel.with_label_flag`: the agent's keys are broadcast behind a
-    size check), so deals aggregate straight to products.
+    :meth:`CrmModel.with_label_flag`), so deals aggregate straight to products.
     """
     fact = model.fact((WON,))
     grouped = (
@@ -63,7 +62,7 @@ def focal_agent_share(model: CrmModel, agent: str) -> DataFrame:
     )
     return grouped.withColumn(
         "focal_pct", pct(F.col("focal_deals"), F.col("focal_deals") + F.col("other_deals"))
-    ).orderBy(F.col("focal_pct").desc())
+    ).orderBy(F.col("focal_pct").desc(), "product")
 
 
 def new_accounts_by_month(model: CrmModel) -> DataFrame:

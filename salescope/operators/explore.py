@@ -44,7 +44,7 @@ def team_size(model: CrmModel) -> DataFrame:
         model.table("teams")
         .groupBy("regional_office", "manager")
         .agg(F.countDistinct("sales_agent").alias("team_size"))
-        .orderBy(F.col("regional_office").asc(), F.col("team_size").desc())
+        .orderBy(F.col("regional_office").asc(), F.col("team_size").desc(), "manager")
     )
 
 
@@ -57,7 +57,7 @@ def frequency(df: DataFrame, column: str, name: str, skip_nulls: bool = False) -
     """``(column, name)``: row count per value, most frequent first."""
     if skip_nulls:
         df = df.where(F.col(column).isNotNull())
-    return df.groupBy(column).agg(F.count(F.lit(1)).alias(name)).orderBy(F.col(name).desc())
+    return df.groupBy(column).agg(F.count(F.lit(1)).alias(name)).orderBy(F.col(name).desc(), column)
 
 
 def accounts_by_sector(model: CrmModel) -> DataFrame:
@@ -159,7 +159,7 @@ def magnitude(model: CrmModel, dim: str) -> DataFrame:
             F.col("revenue").alias("total_sales"),
             F.col("deals").alias("qty_sold"),
         )
-        .orderBy(F.col("total_sales").desc())
+        .orderBy(F.col("total_sales").desc(), "group_by_value")
     )
 
 

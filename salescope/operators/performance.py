@@ -20,7 +20,7 @@ def win_rate_by(model: CrmModel, by: list[str]) -> DataFrame:
         model.measures(by, ("deals", "won_deals"), stages=CLOSED_STAGES)
         .withColumnRenamed("deals", "total_deals")
         .withColumn("win_rate", pct(F.col("won_deals"), F.col("total_deals")))
-        .orderBy(F.col("win_rate").desc())
+        .orderBy(F.col("win_rate").desc(), *by)
     )
 
 
@@ -78,4 +78,4 @@ def sector_frequency(model: CrmModel) -> DataFrame:
         "revenue",
         int_div(F.col("revenue"), F.col("valued")).alias("avg_spend"),
         ratio(F.col("total_deals"), F.col("customers")).alias("deal_frequency"),
-    ).orderBy(F.col("total_deals").desc())
+    ).orderBy(F.col("total_deals").desc(), "sector")

@@ -9,11 +9,12 @@ row per distinct key instead of every deal.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescope.plans.model import FACT_COLUMNS, FULL_SALES_COLUMNS, CrmModel
+from salescope.plans.model import FACT_COLUMNS, FULL_SALES_COLUMNS, WON, CrmModel
 
 
 def orphans(rows: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:
@@ -37,33 +38,38 @@ def orphan_products(model: CrmModel) -> DataFrame:
 def repair_values(
     df: DataFrame,
     column: str,
-    mapping: Mapping[str, str] | None = None,
+    mapping: Mapping[str, str] | DataFrame | None = None,
     canonical: DataFrame | None = None,
     canonical_column: str | None = None,
 ) -> DataFrame:
     """Rewrite known bad values of ``column``; same schema as ``df``.
 
-    ``mapping``: a small literal map ``{bad: good}`` (a CASE expression).
-    ``canonical``: a table of correct spellings; values equal to one of them
-    after trimming and lower-casing are replaced by it (one left join; the
-    frame is computed once).
+    ``mapping``: pairs of a bad and a good value, as a dict or as a table of
+    two columns of any size (joined; the smallest good value of a bad one that
+    is listed twice).
+    ``canonical``: a table of correct spellings.  A value that equals one
+    stays; another is replaced by the spelling it equals after trimming and
+    lower-casing, if there is just one such spelling.
     """
     out = df
-    if mapping:
-        expr = F.col(column)
-        for bad, good in mapping.items():
-            expr = F.when(F.col(column) == F.lit(bad), F.lit(good)).otherwise(expr)
-        out = out.withColumn(column, expr)
+    cols = df.columns
+    if mapping is not None:
+        if isinstance(mapping, Mapping):
+            mapping = df.sparkSession.createDataFrame([*mapping.items()], "bad string, good string")
+        bad, good = (F.col(c) for c in mapping.columns)
+        pairs = mapping.groupBy(bad.alias("__bad")).agg(F.min(good).alias("__new"))
+        out = out.join(pairs, out[column] == pairs["__bad"], "left")
+        out = out.withColumn(column, F.coalesce(F.col("__new"), F.col(column))).select(*cols)
     if canonical is not None:
         ccol = canonical_column or column
         norm = lambda c: F.lower(F.trim(c))
-        # one spelling per normalised value (a table the size of the dimension)
+        # an ambiguous spelling, of which a correct value may be one, stays
         spellings = (
             canonical.select(norm(F.col(ccol)).alias("__norm"), F.col(ccol).alias("__good"))
             .groupBy("__norm")
-            .agg(F.min("__good").alias("__good"))
+            .agg(F.min("__good").alias("__good"), F.max("__good").alias("__last"))
+            .where(F.col("__good") == F.col("__last"))
         )
-        cols = df.columns
         out = (
             out.join(spellings, norm(out[column]) == spellings["__norm"], "left")
             .withColumn(column, F.coalesce(F.col("__good"), F.col(column)))
@@ -72,10 +78,43 @@ def repair_values(
     return out
 
 
-def value_repair(model: CrmModel, mapping: Mapping[str, str] | None = None) -> DataFrame:
-    """The fact with agent names repaired against the teams table."""
-    sales = model.sales(FACT_COLUMNS)
-    return repair_values(sales, "sales_agent", mapping, canonical=model.table("teams"))
+def value_repair(model: CrmModel, mapping: Mapping[str, str] | DataFrame | None = None) -> DataFrame:
+    """The fact with repaired agent names.
+
+    A fact that holds the names itself is repaired by ``mapping`` and against
+    the teams table.  Where the names are labels of a dimension, the dimension
+    is repaired (one row per key) and joined once.
+    """
+    if "sales_agent" in model.fact().columns:
+        return repair_values(model.sales(FACT_COLUMNS), "sales_agent", mapping, canonical=model.table("teams"))
+    dims = tuple(
+        replace(d, frame=repair_values(d.frame, "sales_agent", mapping)) if "sales_agent" in d.provides else d
+        for d in model.dims
+    )
+    return replace(model, dims=dims).sales(FACT_COLUMNS)
+
+
+def accounts_without_won_deals(model: CrmModel) -> DataFrame:
+    """Account keys that no won deal refers to (the orphan check of the
+    accounts against the fact)."""
+    d = model.dim("accounts")
+    parents = model.fact((WON,)).select(d.key).distinct()
+    return orphans(d.frame.select(d.key).distinct(), parents, d.key).select(F.col(d.key).cast("string").alias("key_value"))
+
+
+def repeated_keys(df: DataFrame, key: str, relationship: str) -> DataFrame:
+    """``(relationship, key_value, n_rows)``: values of ``key`` on several rows."""
+    return (
+        df.groupBy(key)
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .where(F.col("n_rows") > 1)
+        .select(F.lit(relationship).alias("relationship"), F.col(key).cast("string").alias("key_value"), "n_rows")
+    )
+
+
+def repeated_opportunities(model: CrmModel) -> DataFrame:
+    """Deal identifiers that are not unique."""
+    return repeated_keys(model.fact().select("opportunity_id"), "opportunity_id", "sales.opportunity_id unique")
 
 
 def fk_violations(model: CrmModel, dims: Sequence[str] = ("teams", "products", "accounts")) -> DataFrame:
@@ -118,16 +157,7 @@ def duplicate_keys(model: CrmModel, dims: Sequence[str] = ("teams", "products",
     parts = []
     for name in dims:
         d = model.dim(name)
-        dup = (
-            d.frame.groupBy(d.key)
-            .agg(F.count(F.lit(1)).alias("n_rows"))
-            .where(F.col("n_rows") > 1)
-            .select(
-                F.lit(f"{name}.{d.key} unique").alias("relationship"),
-                F.col(d.key).cast("string").alias("key_value"),
-                "n_rows",
-            )
-        )
+        dup = repeated_keys(d.frame, d.key, f"{name}.{d.key} unique")
         parts.append(dup)
     out = parts[0]
     for p in parts[1:]:

@@ -49,12 +49,12 @@ def sales_insights_view(model: CrmModel, strategy: str = "distributed") -> DataF
     ``strategy='window'`` uses plain windows partitioned by agent.
     """
     monthly = model.measures(
-        ["month", "sales_agent", "regional_office", "product", "series"],
+        ["month", "sales_agent", "regional_office", "product"],
         ("deals", "revenue"),
         stages=(WON,),
         derived=_month(),
     )
-    order = [F.col(c).asc() for c in ("month", "product", "regional_office", "series")]
+    order = [F.col(c).asc() for c in ("month", "product", "regional_office")]
     if strategy == "window":
         by_agent = Window.partitionBy("sales_agent").orderBy(*order)
         running = by_agent.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -93,7 +93,6 @@ def agent_month_insights(model: CrmModel) -> DataFrame:
         ("deals", "revenue"),
         stages=(WON,),
         derived=_month(),
-        cluster_by=["sales_agent"],
     )
     by_agent = Window.partitionBy("sales_agent").orderBy("month")
     running = by_agent.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -3,6 +3,8 @@ thresholds inside home / non-home regions."""
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,15 +76,26 @@ def account_segment(
             F.when(F.col("office_location") == F.lit(home), F.lit(home_label)).otherwise(F.lit(other_label)),
         )
     )
+    # the bounds in exact integers: with n accounts, d = n * won - sum and
+    # v = n * (n * sum of squares - sum ** 2), won is k stdev off the average
+    # where d ** 2 * (n - 1) >= k ** 2 * v
+    won = F.col("won_deals").cast("decimal(38,0)")
     stats = counts.groupBy("region").agg(
-        F.avg(F.col("won_deals").cast("double")).alias("avg_deals"),
-        F.stddev_samp(F.col("won_deals").cast("double")).alias("std_deals"),
+        F.count(F.lit(1)).cast("decimal(38,0)").alias("n"),
+        F.sum("won_deals").cast("decimal(38,0)").alias("s1"),
+        F.sum((F.col("won_deals") * F.col("won_deals")).cast("decimal(28,0)")).cast("decimal(38,0)").alias("s2"),
+    )
+    times = Fraction(k).limit_denominator(1000)
+    whole = lambda c: c.cast("decimal(38,0)")
+    n, s1, s2 = F.col("n"), F.col("s1"), F.col("s2")
+    d = whole(whole(n * won) - s1)
+    spread = whole(n * whole(whole(n * s2) - whole(s1 * s1)))
+    far = (n > 1) & (
+        whole(whole(d * d) * whole(n - 1)) * F.lit(times.denominator**2) >= spread * F.lit(times.numerator**2)
     )
-    upper = F.col("avg_deals") + F.lit(k) * F.col("std_deals")
-    lower = F.col("avg_deals") - F.lit(k) * F.col("std_deals")
     segment = (
-        F.when(F.col("won_deals") >= upper, F.concat(F.col("region"), F.lit(ACCOUNT_SEGMENTS[0])))
-        .when(F.col("won_deals") <= lower, F.concat(F.col("region"), F.lit(ACCOUNT_SEGMENTS[1])))
+        F.when(far & (d >= 0), F.concat(F.col("region"), F.lit(ACCOUNT_SEGMENTS[0])))
+        .when(far & (d <= 0), F.concat(F.col("region"), F.lit(ACCOUNT_SEGMENTS[1])))
         .otherwise(F.concat(F.col("region"), F.lit(ACCOUNT_SEGMENTS[2])))
     )
     return (

@@ -29,14 +29,14 @@ def _won_revenue_by(model: CrmModel, dim: str, value_name: str) -> DataFrame:
 def series_share(model: CrmModel) -> DataFrame:
     """``(series, total_sales, percent_of_total)``."""
     return with_share(_won_revenue_by(model, "series", "total_sales"), "total_sales").orderBy(
-        F.col("percent_of_total").desc()
+        F.col("percent_of_total").desc(), "series"
     )
 
 
 def location_share(model: CrmModel) -> DataFrame:
     """``(office_location, total_sales, percent_of_total)``."""
     return with_share(_won_revenue_by(model, "office_location", "total_sales"), "total_sales").orderBy(
-        F.col("percent_of_total").desc()
+        F.col("percent_of_total").desc(), "office_location"
     )
 
 
@@ -89,5 +89,5 @@ def non_home_products(model: CrmModel, home: str) -> DataFrame:
     return (
         with_share(grouped, "won_deals_count", "deals_pct")
         .withColumn("avg_deal_price", ratio(F.col("total_revenue"), F.col("won_deals_count")))
-        .orderBy(F.col("won_deals_count").desc())
+        .orderBy(F.col("won_deals_count").desc(), "product")
     )

@@ -70,8 +70,7 @@ class Dimension:
     ``key`` is the join column; it has the same name in the fact frame and in
     ``frame``.  ``provides`` are the deal-frame columns this dimension supplies,
     ``table_columns`` the columns of the dimension as a table of its own.
-    ``bounded`` marks a table of fixed size, safe to broadcast explicitly;
-    other dimensions are left to the planner's size statistics and AQE.
+    How it is joined is left to the planner's size statistics and AQE.
     """
 
     name: str
@@ -79,7 +78,6 @@ class Dimension:
     key: str
     provides: tuple[str, ...]
     table_columns: tuple[str, ...]
-    bounded: bool = False
 
 
 # Measures over deals.  Each has a per-row expression aggregated at the first
@@ -144,26 +142,19 @@ class CrmModel:
                 return d
         raise ValueError(f"unknown column {column!r}; expected one of {FULL_SALES_COLUMNS}")
 
-    def with_label_flag(
-        self, df: DataFrame, column: str, value: object, name: str, broadcast_limit: int = 100_000
-    ) -> DataFrame:
+    def with_label_flag(self, df: DataFrame, column: str, value: object, name: str) -> DataFrame:
         """``df`` (fact columns) plus a boolean ``name``: ``<column> = value`` on
         the deal frame, where ``column`` may be a label held by a dimension
         (an agent name when the fact carries the agent key).
 
-        The dimension keys carrying that label are counted first (one filtered
-        scan of the dimension).  Up to ``broadcast_limit`` keys they are
-        broadcast to the fact, which is then flagged without a shuffle; beyond
-        it the flag comes from an ordinary join.  NULL and unmatched keys are
-        never equal, as in the join of the deal frame.
+        The dimension keys carrying that label are joined to the fact; the
+        planner's statistics and AQE pick the join.  NULL and unmatched keys
+        are never equal, as in the join of the deal frame.
         """
         if column in df.columns:
             return df.withColumn(name, F.coalesce(F.col(column) == F.lit(value), F.lit(False)))
         d = self._supplier_of(column, set(df.columns))
-        keys = d.frame.where(F.col(column) == F.lit(value)).select(d.key).distinct()
-        hits = keys.withColumn("__hit", F.lit(True))
-        if keys.count() <= broadcast_limit:
-            hits = F.broadcast(hits)
+        hits = d.frame.where(F.col(column) == F.lit(value)).select(d.key).distinct().withColumn("__hit", F.lit(True))
         return (
             df.join(hits, on=d.key, how="left")
             .withColumn(name, F.coalesce(F.col("__hit"), F.lit(False)))
@@ -193,8 +184,7 @@ class CrmModel:
 
     @staticmethod
     def _dim_side(d: Dimension, columns: Sequence[str]) -> DataFrame:
-        side = d.frame.select(d.key, *[c for c in columns if c != d.key])
-        return F.broadcast(side) if d.bounded else side
+        return d.frame.select(d.key, *[c for c in columns if c != d.key])
 
     # -- two-level aggregation ----------------------------------------------
     def measures(
@@ -203,15 +193,11 @@ class CrmModel:
         which: Sequence[str] = ("deals", "revenue"),
         stages: Sequence[str] | None = None,
         derived: Mapping[str, Column] | None = None,
-        cluster_by: Sequence[str] | None = None,
     ) -> DataFrame:
         """Deal measures grouped by ``by`` (deal-frame columns or ``derived`` names).
 
         ``derived`` maps new names to expressions over fact columns (e.g. the
         close month); they are computed before the first aggregation.
-        ``cluster_by`` (a subset of ``by``): when dimensions are joined, the
-        second aggregation is hash-partitioned by these columns only, so a
-        following window partitioned by them needs no further shuffle.
         Output: the ``by`` columns, then one column per measure in ``which``.
         """
         derived = dict(derived or {})
@@ -250,6 +236,4 @@ class CrmModel:
         for d in dims:
             needed = [c for c in by if c in d.provides and c not in first_names]
             joined = joined.join(self._dim_side(d, needed), on=d.key, how="left")
-        if cluster_by:
-            joined = joined.repartition(*cluster_by)
         return joined.groupBy(*by).agg(*[_MEASURES[m][1](m).alias(m) for m in which])

@@ -48,12 +48,12 @@ def cluster_conf(largest_shuffle_bytes: int, partition_bytes: int = 256 << 20) -
     AQE can merge small shuffle partitions but cannot split them (skewed join
     partitions aside), so the initial partition count must come from the
     largest shuffle: ``largest_shuffle_bytes / partition_bytes``, at least
-    2,000, at most 100,000.  At about 100 TB of deals the fact join shuffles
+    2,000.  At about 100 TB of deals the fact join shuffles
     some 25 TB (line items and orders, pruned to the used columns): about
     100,000 partitions of 256 MB.  Skewed join partitions are split; broadcast
     stays behind the planner's size check.
     """
-    partitions = max(2000, min(100_000, -(-largest_shuffle_bytes // partition_bytes)))
+    partitions = max(2000, -(-largest_shuffle_bytes // partition_bytes))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

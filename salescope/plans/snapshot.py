@@ -45,14 +45,16 @@ def from_snapshot(spark: SparkSession, path: str, dims_from: CrmModel) -> CrmMod
 
 def register_views(model: CrmModel, prefix: str = "") -> list[str]:
     """Register ``sales``, each dimension, ``full_sales_data`` and
-    ``sales_insights`` (agent-month report) as temp views; returns the names."""
-    from salescope.operators.report import agent_month_insights
+    the two reports (by agent-month, and by product too) as temp views; returns
+    the names."""
+    from salescope.operators.report import agent_month_insights, sales_insights_view
 
     views = {
         "sales": model.sales(FACT_COLUMNS),
         **{d.name: model.table(d.name) for d in model.dims},
         "full_sales_data": model.frame(),
         "sales_insights": agent_month_insights(model),
+        "sales_insights_by_product": sales_insights_view(model, strategy="window"),
     }
     for name, df in views.items():
         df.createOrReplaceTempView(prefix + name)

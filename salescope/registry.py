@@ -21,6 +21,8 @@ from salescope.sources.star import FOCAL_AGENT, HOME_COUNTRY, from_star
 
 # Parameter of the threshold analysis on the mapping (see FIXTURES.md).
 THRESHOLD = 9_000_000
+# The repair that the mapping is run with (an agent's name as it should be).
+REPAIRED_AGENT = "Focal Agent"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,14 +36,17 @@ class Params:
     threshold: int
     top_n: int = 10
     tiles: int = 4
-    kpi_type: str = "double"
+    kpi_type: str = "decimal(38,2)"
+    repairs: tuple[tuple[str, str], ...] = ()
 
 
 def _catalog(p: Params) -> dict[str, Callable[[CrmModel], DataFrame]]:
     return {
         # preparation and data quality
         "orphan_products": quality.orphan_products,
-        "value_repair": quality.value_repair,
+        "value_repair": lambda m: quality.value_repair(m, dict(p.repairs) or None),
+        "accounts_without_won_deals": quality.accounts_without_won_deals,
+        "repeated_opportunities": quality.repeated_opportunities,
         "fk_violations": quality.fk_violations,
         "duplicate_keys": quality.duplicate_keys,
         "full_sales": lambda m: m.frame(),
@@ -107,7 +112,7 @@ def analyses(model: CrmModel, params: Params) -> dict[str, Callable[[], DataFram
 
 # --- the star-schema test mapping ---------------------------------------------
 
-STAR_PARAMS = Params(home=HOME_COUNTRY, focal_agent=FOCAL_AGENT, threshold=THRESHOLD)
+STAR_PARAMS = Params(home=HOME_COUNTRY, focal_agent=FOCAL_AGENT, threshold=THRESHOLD, repairs=((FOCAL_AGENT, REPAIRED_AGENT),))
 
 _MODELS: dict[tuple[str, str], CrmModel] = {}
 

@@ -38,7 +38,7 @@ def test_cli_writes_every_analysis(spark):
     assert main(args + ["--fail-on-fk"], spark=spark) == 2  # the fixture has a ghost agent
     assert main(args + ["--snapshot", os.path.join(folder, "deals")], spark=spark) == 0
     out = os.path.join(folder, "out")
-    assert len(os.listdir(out)) == 50
+    assert len(os.listdir(out)) == 52
     shares = rows(spark.read.parquet(os.path.join(out, "series_share")))
     assert shares == [("Alpha", 1252, 41.01), ("Beta", 1801, 58.99)]
     hits = rows(spark.read.parquet(os.path.join(out, "threshold_date")), "sales_agent")
