@@ -163,37 +163,38 @@ def magnitude(model: CrmModel, dim: str) -> DataFrame:
     )
 
 
+_PAIRS = "array<struct<dimension:string,group_by_value:string>>"
+
+
 def magnitude_all(model: CrmModel, dims: Sequence[str] = MAGNITUDE_DIMENSIONS) -> DataFrame:
     """``(dimension, group_by_value, total_sales, qty_sold)`` for several
-    dimensions from one scan of the deals, with GROUPING SETS.
+    dimensions from one scan of the deals, with GROUPING SETS over the keys.
 
+    The deals are summed by each key alone; the sums (a row per key) meet the
+    labels of all keys in one join.  Keys must be unique in their dimension.
     Values are cast to string so dimensions of different types share a column.
     """
     dims = list(dims)
     for d in dims:
         _check_dimension(d)
-    base = model.measures(dims, ("revenue", "deals"), stages=(WON,))
-    grouped = base.groupingSets([[d] for d in dims], *dims).agg(
-        F.sum("revenue").alias("total_sales"),
-        F.sum("deals").alias("qty_sold"),
-        F.grouping_id(*dims).alias("__gid"),
-    )
-    # grouping_id has bit (n-1-i) clear for the column grouped in set i
-    n = len(dims)
-    dimension = None
-    value = None
-    for i, d in enumerate(dims):
-        gid = (1 << n) - 1 - (1 << (n - 1 - i))
-        cond = F.col("__gid") == gid
-        dimension = F.when(cond, F.lit(d)) if dimension is None else dimension.when(cond, F.lit(d))
-        value = (
-            F.when(cond, F.col(d).cast("string"))
-            if value is None
-            else value.when(cond, F.col(d).cast("string"))
-        )
-    return grouped.select(
-        dimension.alias("dimension"),
-        value.alias("group_by_value"),
-        "total_sales",
-        "qty_sold",
+    partial, sources = model.by_key(dims, ("revenue", "deals"), stages=(WON,))
+    text = lambda c: F.col(c).cast("string")
+    pair = lambda d, v: F.struct(F.lit(d).alias("dimension"), v.alias("group_by_value"))
+    # the labels of each key, in one table; a key without a row has NULL labels
+    nothing = F.array().cast(_PAIRS)
+    own, unknown, labels = nothing, nothing, None
+    for key, (d, columns) in sources.items():
+        here = F.col("key_name") == key
+        others = [c for c in columns if c != key]
+        unknown = F.when(here, F.array(*[pair(c, F.lit(None).cast("string")) for c in others]).cast(_PAIRS)).otherwise(unknown)
+        own = F.when(here, F.array(pair(key, F.col("key_value"))).cast(_PAIRS)).otherwise(own) if key in columns else own
+        if others:
+            found = d.frame.select(F.lit(key).alias("key_name"), text(d.key).alias("key_value"), F.array(*[pair(c, text(c)) for c in others]).cast(_PAIRS).alias("found"))
+            labels = found if labels is None else labels.unionByName(found)
+    joined = partial.withColumn("found", F.lit(None).cast(_PAIRS)) if labels is None else partial.join(labels, ["key_name", "key_value"], "left")
+    both = F.concat(F.coalesce("found", unknown), own)
+    return (
+        joined.select(F.inline(both), "revenue", "deals")
+        .groupBy("dimension", "group_by_value")
+        .agg(F.sum("revenue").alias("total_sales"), F.sum("deals").alias("qty_sold"))
     )

@@ -25,10 +25,9 @@ range-partitioned checkpoint with the group columns leading the order: windows
 run per (partition, group), and a group that continues from earlier
 partitions gets their sums and last value from per-partition statistics.
 
-``rank`` groups equal values first (partial aggregation, so a value held by a
-third of all rows costs one row per task), numbers the distinct values
-weighted by their counts, and joins the rank back on the value.  ``ntile``
-maps the global position to a tile with the total row count.
+``rank`` uses the same checkpoint: the place of a run of ties is that of its
+first row, carried over partition borders by per-partition statistics.
+``ntile`` maps the global position to a tile with the total row count.
 
 Positions and ranks are ``bigint`` (a global order over billions of rows
 does not fit ``int``); tiles are ``int``.
@@ -130,16 +129,37 @@ def global_rank(
     name: str = "rank",
     partitions: int | None = None,
 ) -> DataFrame:
-    """``rank() over (order by <by>)``: ties share a rank, gaps follow."""
+    """``rank() over (order by <by>)``: ties share a rank, gaps follow.
+
+    ``df`` is read once.  The other columns break ties in the range order, so
+    a value held by many rows is spread over partitions; a run of ties that
+    continues from earlier partitions takes its first place from one row of
+    statistics per partition.
+    """
     by = list(by)
-    values = df.groupBy(*by).agg(F.count(F.lit(1)).alias(_W))
-    ranked = _positions(values, _sort(by, ascending), _W, partitions)
-    ranks = ranked.select(
-        *[F.col(c).alias(f"__v{i}") for i, c in enumerate(by)],
-        (F.col(_POS) - F.col(_W) + 1).cast("long").alias(name),
+    rest = [F.col(c).asc() for c in df.columns if c not in by]
+    tagged = _range_checkpoint(df, [*_sort(by, ascending), *rest], partitions, local_index=True)
+    value = F.struct(*[F.col(c) for c in by])
+    # per partition: its first value, and its last with the place it starts at
+    groups = tagged.groupBy(_PID, *by).agg(F.min(_LOCAL).alias("__lo"), F.count(F.lit(1)).alias(_W))
+    stats = groups.groupBy(_PID).agg(
+        F.min_by(value, "__lo").alias("__fk"),
+        F.max_by(F.struct(value.alias("k"), F.col("__lo").alias("lo")), "__lo").alias("__last"),
+        F.sum(_W).alias(_PART),
     )
-    cond = [df[c].eqNullSafe(ranks[f"__v{i}"]) for i, c in enumerate(by)]
-    return df.join(ranks, cond, "inner").drop(*[f"__v{i}" for i in range(len(by))])
+    by_pid = Window.orderBy(_PID)
+    prefix = by_pid.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    stats = stats.withColumn(_OFFSET, F.sum(_PART).over(prefix) - F.col(_PART))
+    # a run of ties starts in the first of the partitions that end in it
+    start = F.min(F.col(_OFFSET) + F.col("__last.lo")).over(Window.partitionBy(F.col("__last.k")))
+    stats = stats.withColumn("__start", start)
+    goes_on = F.col("__fk").eqNullSafe(F.lag("__last.k").over(by_pid)) & F.lag(_PID).over(by_pid).isNotNull()
+    carries = stats.select(_PID, _OFFSET, "__fk", F.when(goes_on, F.lag("__start").over(by_pid)).alias("__carry"))
+    first = F.min(_LOCAL).over(Window.partitionBy(_PID, *by))
+    out = tagged.withColumn("__lo", first).join(F.broadcast(carries), _PID)
+    carried = F.when(value.eqNullSafe(F.col("__fk")), F.col("__carry"))
+    rank = F.coalesce(carried, F.col(_OFFSET) + F.col("__lo")) + 1
+    return out.withColumn(name, rank.cast("long")).drop(_PID, _LOCAL, "__lo", "__fk", "__carry", _OFFSET)
 
 
 def ntile_of(position: Column, total: Column, n: int) -> Column:
@@ -160,10 +180,11 @@ def ntile_of(position: Column, total: Column, n: int) -> Column:
 
 
 def global_ntile(
-    df: DataFrame, n: int, order: Sequence[Column], name: str = "ntile", partitions: int | None = None
+    df: DataFrame, n: int, order: Sequence[Column], name: str = "ntile", partitions: int | None = None, weight: str | None = None
 ) -> DataFrame:
-    """``ntile(n) over (order by <order>)``; ``order`` should be total."""
-    pos = _positions(df, order, None, partitions)
+    """``ntile(n) over (order by <order>)``; ``order`` should be total.  Rows
+    whose ``weight`` (0 or 1) is 0 take no place; their tile means nothing."""
+    pos = _positions(df, order, weight, partitions)
     return pos.withColumn(name, ntile_of(F.col(_POS), F.col(_TOTAL), n)).drop(_POS, _TOTAL)
 
 

@@ -165,30 +165,60 @@ def duplicate_keys(model: CrmModel, dims: Sequence[str] = ("teams", "products",
     return out
 
 
+def _deal_nulls(model: CrmModel, columns: Sequence[str]) -> DataFrame:
+    """One row: ``n_rows`` and the NULL count ``null_<column>`` of deal-frame
+    columns.  The deals are counted by key in one scan, and a key's deals
+    count for each label that its dimension row lacks (all, without a row), so
+    no dimension is joined to the deals.  Keys must be unique."""
+    own = [c for c in columns if c in model.fact().columns]
+    labels = [c for c in columns if c not in own]
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in own]
+    if not labels:
+        return model.fact().agg(F.count(F.lit(1)).alias("n_rows"), *nulls)
+    counts, sources = model.by_key(labels, ("deals",), extra=nulls)
+    lacking, everything = None, F.array().cast("array<string>")
+    for key, (d, names) in sources.items():
+        everything = F.when(F.col("key_name") == key, F.array(*[F.lit(c) for c in names])).otherwise(everything)
+        part = d.frame.select(
+            F.lit(key).alias("key_name"),
+            F.col(d.key).cast("string").alias("key_value"),
+            F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in names])).alias("lacking"),
+        )
+        lacking = part if lacking is None else lacking.unionByName(part)
+    joined = counts.join(lacking, ["key_name", "key_value"], "left").withColumn("lacking", F.coalesce("lacking", everything))
+    once = F.col("key_name") == next(iter(sources))
+    total = lambda cond, c: F.coalesce(F.sum(F.when(cond, F.col(c))), F.lit(0))
+    return joined.agg(
+        total(once, "deals").alias("n_rows"),
+        *[total(once, f"null_{c}").alias(f"null_{c}") for c in own],
+        *[total(F.array_contains("lacking", c), "deals").alias(f"null_{c}") for c in labels],
+    )
+
+
 def null_counts(model: CrmModel, columns: Sequence[str] = FULL_SALES_COLUMNS) -> DataFrame:
-    """One row: NULL count of each deal-frame column (after the joins)."""
-    frame = model.frame(columns)
-    return frame.agg(*[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns])
+    """One row: NULL count of each deal-frame column."""
+    return _deal_nulls(model, columns).select(*[f"null_{c}" for c in columns])
 
 
-def profile(df: DataFrame, table_name: str) -> DataFrame:
+def profile(df: DataFrame, table_name: str, counts: DataFrame | None = None) -> DataFrame:
     """``(table_name, column_name, data_type, n_rows, n_nulls)`` for one table,
-    in one aggregate pass; the types come from the schema (no job)."""
-    agg = df.agg(
-        F.count(F.lit(1)).alias("__n"),
-        *[F.count_if(F.col(f.name).isNull()).alias(f"__null_{i}") for i, f in enumerate(df.schema.fields)],
-    )
+    in one aggregate pass; the types come from the schema (no job).  ``counts``
+    may give the row (``n_rows``, ``null_<column>``) otherwise computed."""
+    if counts is None:
+        counts = df.agg(
+            F.count(F.lit(1)).alias("n_rows"), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in df.columns]
+        )
     rows = F.array(
         *[
             F.struct(
                 F.lit(f.name).alias("column_name"),
                 F.lit(f.dataType.simpleString()).alias("data_type"),
-                F.col(f"__null_{i}").alias("n_nulls"),
+                F.col(f"null_{f.name}").alias("n_nulls"),
             )
-            for i, f in enumerate(df.schema.fields)
+            for f in df.schema.fields
         ]
     )
-    return agg.select(F.lit(table_name).alias("table_name"), F.col("__n").alias("n_rows"), F.inline(rows)).select(
+    return counts.select(F.lit(table_name).alias("table_name"), "n_rows", F.inline(rows)).select(
         "table_name", "column_name", "data_type", "n_rows", "n_nulls"
     )
 
@@ -212,7 +242,7 @@ def column_catalog(model: CrmModel, data_type: str | None = None) -> DataFrame:
             if not keep:
                 continue
             df = df.select(*keep)
-        parts.append(profile(df, name))
+        parts.append(profile(df, name, _deal_nulls(model, df.columns) if name == "sales" else None))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -30,19 +30,19 @@ def agent_segment(
     takes part in the quartiles; ``exclude_outlier=True`` computes the
     quartiles without it.
     """
-    revenue = agent_revenue(model)
-    ranked = revenue
-    if exclude_outlier and outlier is not None:
-        ranked = revenue.where(~F.col("sales_agent").eqNullSafe(F.lit(outlier)))
+    ranked = agent_revenue(model)
+    apart = exclude_outlier and outlier is not None
+    is_outlier = F.col("sales_agent").eqNullSafe(F.lit(outlier))
     order = [F.col("total_revenue").desc(), F.col("sales_agent").asc()]
     if strategy == "window":
-        tiled = ranked.withColumn("__tile", F.ntile(4).over(Window.orderBy(*order)))
+        spec = Window.partitionBy(is_outlier).orderBy(*order) if apart else Window.orderBy(*order)
+        tiled = ranked.withColumn("__tile", F.ntile(4).over(spec))
+    elif apart:
+        # the outlier takes no place among the others; its label is fixed
+        counted = ranked.withColumn("__take", F.when(is_outlier, 0).otherwise(1))
+        tiled = global_ntile(counted, 4, order, "__tile", weight="__take")
     else:
         tiled = global_ntile(ranked, 4, order, "__tile")
-    if exclude_outlier and outlier is not None:
-        tiled = tiled.unionByName(
-            revenue.where(F.col("sales_agent").eqNullSafe(F.lit(outlier))).withColumn("__tile", F.lit(1))
-        )
     label = F.when(F.col("sales_agent") == F.lit(outlier), F.lit(AGENT_SEGMENTS[0])) if outlier else None
     for tile, name in enumerate(AGENT_SEGMENTS[:3], start=1):
         cond = F.col("__tile") == tile

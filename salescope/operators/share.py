@@ -80,11 +80,9 @@ def non_home_products(model: CrmModel, home: str) -> DataFrame:
     ``office_location != home`` drops accounts with no location (unlike the
     ELSE branch of :func:`home_vs_other`).
     """
-    pairs = model.measures(["product", "office_location"], ("deals", "revenue"), stages=(WON,))
-    grouped = (
-        pairs.where(F.col("office_location") != F.lit(home))
-        .groupBy("product")
-        .agg(F.sum("deals").alias("won_deals_count"), F.sum("revenue").alias("total_revenue"))
+    abroad = model.where_label(model.fact((WON,)), "office_location", lambda c: c != F.lit(home))
+    grouped = abroad.groupBy("product").agg(
+        F.count(F.lit(1)).alias("won_deals_count"), F.sum("close_value").alias("total_revenue")
     )
     return (
         with_share(grouped, "won_deals_count", "deals_pct")

@@ -161,6 +161,16 @@ class CrmModel:
             .drop("__hit")
         )
 
+    def where_label(self, df: DataFrame, column: str, keep: Callable[[Column], Column]) -> DataFrame:
+        """Rows of ``df`` (fact columns) whose label ``column`` satisfies
+        ``keep``; NULL and unmatched labels don't.  Only the keys of the
+        labels that do are joined, so the deals are neither widened nor
+        grouped for it."""
+        d = self._supplier_of(column, set(df.columns))
+        if d is None:
+            return df.where(keep(F.col(column)))
+        return df.join(d.frame.where(keep(F.col(column))).select(d.key), on=d.key, how="inner")
+
     # -- denormalised frame -------------------------------------------------
     def frame(
         self,
@@ -186,6 +196,36 @@ class CrmModel:
     def _dim_side(d: Dimension, columns: Sequence[str]) -> DataFrame:
         return d.frame.select(d.key, *[c for c in columns if c != d.key])
 
+    # -- sums by single keys --------------------------------------------------
+    def by_key(
+        self,
+        columns: Sequence[str],
+        which: Sequence[str] = (),
+        stages: Sequence[str] | None = None,
+        extra: Sequence[Column] = (),
+    ) -> tuple[DataFrame, dict[str, tuple[Dimension | None, list[str]]]]:
+        """The deals summed by each key that ``columns`` hang on, in one scan
+        (GROUPING SETS): ``(key_name, key_value, measures...)``, and per key its
+        dimension (None: the fact itself) and the columns it leads to."""
+        fact = self.fact(stages)
+        sources: dict[str, tuple[Dimension | None, list[str]]] = {}
+        own = set(fact.columns)
+        for c in columns:
+            d = self._supplier_of(c, own)
+            sources.setdefault(c if d is None else d.key, (d, []))[1].append(c)
+        for d in self.dims:  # a key asked for by name may lead to labels too
+            if d.key in sources and sources[d.key][0] is None:
+                sources[d.key] = (d, sources[d.key][1])
+        keys = list(sources)
+        summed = fact.groupingSets([[k] for k in keys], *keys).agg(
+            *[_MEASURES[m][0]().alias(m) for m in which], *extra, F.grouping_id(*keys).alias("__gid")
+        )
+        name = F.lit(None).cast("string")
+        for i, k in enumerate(keys):
+            name = F.when(F.col("__gid") == (1 << len(keys)) - 1 - (1 << (len(keys) - 1 - i)), F.lit(k)).otherwise(name)
+        value = F.coalesce(*[F.col(k).cast("string") for k in keys])
+        return summed.withColumns({"key_name": name, "key_value": value}).drop("__gid", *keys), sources
+
     # -- two-level aggregation ----------------------------------------------
     def measures(
         self,

@@ -28,8 +28,10 @@ def write_snapshot(
     columns: Sequence[str] = FULL_SALES_COLUMNS,
     mode: str = "overwrite",
 ) -> None:
-    """Write the deal frame to ``path`` (Parquet, partitioned by ``deal_stage``)."""
-    model.frame(columns).write.mode(mode).partitionBy("deal_stage").parquet(path)
+    """Write the deal frame to ``path`` (Parquet, partitioned by ``deal_stage``),
+    with the keys that its dimensions are joined by."""
+    keys = [d.key for d in model.dims if d.key not in columns]
+    model.frame([*columns, *dict.fromkeys(keys)]).write.mode(mode).partitionBy("deal_stage").parquet(path)
 
 
 def from_snapshot(spark: SparkSession, path: str, dims_from: CrmModel) -> CrmModel:

@@ -128,3 +128,12 @@ def test_callers_cache_is_left_alone(spark):
     global_row_number(fresh, [F.col("x").asc()]).count()
     assert not fresh.storageLevel.useMemory  # our temporary cache was dropped
     df.unpersist()
+
+
+def test_rank_of_a_tie_run_over_three_partitions(spark):
+    rows = spark.range(400).selectExpr("id", "case when id % 4 < 3 then 50 else id end as v")
+    ours = global_rank(rows, ["v"], [False], "r", partitions=8)
+    assert ours.where("v = 50").count() == 300
+    plain = rows.withColumn("p", F.rank().over(Window.orderBy(F.col("v").desc())))
+    assert ours.join(plain, ["id"]).where("r <> p").count() == 0
+    assert ours.count() == 400
