@@ -13,6 +13,7 @@ from salescope.llm.decontaminate import contamination
 from salescope.llm.html_extract import main_text
 from salescope.llm.kd_shards import kd_shards
 from salescope.llm.near_dedup import near_duplicates
+from salescope.llm.oracle import SQL
 from salescope.llm.packing import pack
 from salescope.llm.quality_rules import quality_rules
 from salescope.llm.token_counts import token_counts
@@ -109,4 +110,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL where an operator is expressible in SQL.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = dict(SQL)
