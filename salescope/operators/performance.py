@@ -35,11 +35,11 @@ def account_win_rate(model: CrmModel) -> DataFrame:
 def sector_performance(model: CrmModel) -> DataFrame:
     """``(sector, avg_deal_value, total_revenue, percent_of_total, sector_revenue_rank)``.
 
-    ``percent_of_total`` is text, ``'12.34%'``.  One row per sector: the rank
-    window over all sectors is tiny.
+    ``percent_of_total`` is text, ``'12.34%'``.  One row per sector: the
+    windows over all sectors (rank and total) are tiny.
     """
     grouped = model.measures(["sector"], ("revenue", "valued_deals"), stages=(WON,))
-    total = grouped.agg(F.sum("revenue")).scalar()
+    total = F.sum("revenue").over(Window.partitionBy())
     share = hundred() * F.col("revenue") / F.nullif(total, F.lit(0))
     return grouped.select(
         "sector",

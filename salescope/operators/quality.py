@@ -14,7 +14,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescope.plans.model import FACT_COLUMNS, FULL_SALES_COLUMNS, WON, CrmModel
+from salescope.plans.model import FACT_COLUMNS, FULL_SALES_COLUMNS, WON, CrmModel, by_single_key
 
 
 def orphans(rows: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:
@@ -94,14 +94,22 @@ def value_repair(model: CrmModel, mapping: Mapping[str, str] | DataFrame | None
     return replace(model, dims=dims).sales(FACT_COLUMNS)
 
 
-def accounts_without_won_deals(model: CrmModel) -> DataFrame:
-    """Account keys that no won deal refers to (the orphan check of the
-    accounts against the fact)."""
-    d = model.dim("accounts")
+def without_won_deals(model: CrmModel, name: str) -> DataFrame:
+    """Keys of a dimension that no won deal refers to (the orphan check of the
+    dimension against the fact)."""
+    d = model.dim(name)
     parents = model.fact((WON,)).select(d.key).distinct()
     return orphans(d.frame.select(d.key).distinct(), parents, d.key).select(F.col(d.key).cast("string").alias("key_value"))
 
 
+def accounts_without_won_deals(model: CrmModel) -> DataFrame:
+    return without_won_deals(model, "accounts")
+
+
+def products_without_won_deals(model: CrmModel) -> DataFrame:
+    return without_won_deals(model, "products")
+
+
 def repeated_keys(df: DataFrame, key: str, relationship: str) -> DataFrame:
     """``(relationship, key_value, n_rows)``: values of ``key`` on several rows."""
     return (
@@ -247,3 +255,52 @@ def column_catalog(model: CrmModel, data_type: str | None = None) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def _distinct_rows(found: DataFrame, columns: Sequence[str], table_name: str) -> DataFrame:
+    """Sums of ``n`` per column of ``(column_name, n)``, 0 where there is none."""
+    total = found.agg(*[F.coalesce(F.sum(F.when(F.col("column_name") == c, F.col("n"))), F.lit(0)).alias(c) for c in columns])
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_distinct")) for c in columns])
+    return total.select(F.lit(table_name).alias("table_name"), F.inline(rows))
+
+
+def distinct_counts(model: CrmModel) -> DataFrame:
+    """``(table_name, column_name, n_distinct)``: exact numbers of distinct
+    non-NULL values in the four tables.
+
+    The deals are grouped by every column in one scan.  Values of the fact's
+    own columns are then counted as they are; the distinct keys lead to the
+    labels of their dimensions, of which equal ones count once.
+    """
+    one = F.lit(1).alias("n")
+    values, sources = model.by_key(FACT_COLUMNS)
+    own = [k for k, (_, names) in sources.items() if names == [k]]
+    labels = None
+    for key, (d, names) in sources.items():
+        if key in own:
+            continue
+        entries = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("label")) for c in names])
+        part = d.frame.select(
+            F.lit(key).alias("key_name"),
+            F.col(d.key).cast("string").alias("key_value"),
+            F.filter(entries, lambda e: e["label"].isNotNull()).alias("entries"),
+        )
+        labels = part if labels is None else labels.unionByName(part)
+    found = values.where(F.col("key_value").isNotNull())
+    if labels is None:
+        found = found.select(F.col("key_name").alias("column_name"), one)
+    else:
+        itself = F.array(F.struct(F.col("key_name").alias("column_name"), F.lit(None).cast("string").alias("label")))
+        found = (
+            found.join(labels, ["key_name", "key_value"], "left")
+            .select(F.inline(F.when(F.col("key_name").isin(own), itself).otherwise(F.col("entries"))))
+            .groupBy("column_name", "label")
+            .agg(F.count(F.lit(1)).alias("n"))
+            .select("column_name", F.when(F.col("label").isNull(), F.col("n")).otherwise(F.lit(1)).alias("n"))
+        )
+    out = _distinct_rows(found, FACT_COLUMNS, "sales")
+    for d in model.dims:
+        columns = list(d.table_columns)
+        listed = by_single_key(d.frame.select(*columns), columns).where(F.col("key_value").isNotNull())
+        out = out.unionByName(_distinct_rows(listed.select(F.col("key_name").alias("column_name"), one), columns, d.name))
+    return out

@@ -16,9 +16,15 @@ from salescope.functions.kpi import hundred, pct, ratio
 from salescope.plans.model import WON, CrmModel
 
 
-def with_share(grouped: DataFrame, value: str, name: str = "percent_of_total") -> DataFrame:
-    """Add ``name`` = ROUND(100.0 * value / SUM(value), 2) over all rows."""
-    total = grouped.agg(F.sum(value)).scalar()
+def with_share(grouped: DataFrame, value: str, name: str = "percent_of_total", also: tuple[str, ...] = ()) -> DataFrame:
+    """Add ``name`` = ROUND(100.0 * value / SUM(value), 2) over all rows.
+
+    ``also``: the other aggregates of ``grouped``.  They are summed with the
+    value, because a subquery that is pruned to fewer columns can't share the
+    shuffle of ``grouped`` and would read the deals again.
+    """
+    sums = [F.sum(value).alias("total"), *[F.sum(c).alias(c) for c in also]]
+    total = grouped.agg(F.struct(*sums)).scalar()["total"]
     return grouped.withColumn(name, pct(F.col(value), total))
 
 
@@ -85,7 +91,7 @@ def non_home_products(model: CrmModel, home: str) -> DataFrame:
         F.count(F.lit(1)).alias("won_deals_count"), F.sum("close_value").alias("total_revenue")
     )
     return (
-        with_share(grouped, "won_deals_count", "deals_pct")
+        with_share(grouped, "won_deals_count", "deals_pct", also=("total_revenue",))
         .withColumn("avg_deal_price", ratio(F.col("total_revenue"), F.col("won_deals_count")))
         .orderBy(F.col("won_deals_count").desc(), "product")
     )

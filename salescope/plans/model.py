@@ -99,6 +99,17 @@ _MEASURES: dict[str, tuple[Callable[[], Column], Callable[[str], Column]]] = {
 MEASURES = tuple(_MEASURES)
 
 
+def by_single_key(df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column] = ()) -> DataFrame:
+    """``(key_name, key_value, aggregates...)``: ``df`` grouped by each of
+    ``keys`` alone, in one scan (GROUPING SETS)."""
+    grouped = df.groupingSets([[k] for k in keys], *keys).agg(*aggregates, F.grouping_id(*keys).alias("__gid"))
+    name = F.lit(None).cast("string")
+    for i, k in enumerate(keys):
+        name = F.when(F.col("__gid") == (1 << len(keys)) - 1 - (1 << (len(keys) - 1 - i)), F.lit(k)).otherwise(name)
+    value = F.coalesce(*[F.col(k).cast("string") for k in keys])
+    return grouped.withColumns({"key_name": name, "key_value": value}).drop("__gid", *keys)
+
+
 @dataclass(frozen=True, eq=False)
 class CrmModel:
     """Fact builder plus dimensions.
@@ -216,15 +227,7 @@ class CrmModel:
         for d in self.dims:  # a key asked for by name may lead to labels too
             if d.key in sources and sources[d.key][0] is None:
                 sources[d.key] = (d, sources[d.key][1])
-        keys = list(sources)
-        summed = fact.groupingSets([[k] for k in keys], *keys).agg(
-            *[_MEASURES[m][0]().alias(m) for m in which], *extra, F.grouping_id(*keys).alias("__gid")
-        )
-        name = F.lit(None).cast("string")
-        for i, k in enumerate(keys):
-            name = F.when(F.col("__gid") == (1 << len(keys)) - 1 - (1 << (len(keys) - 1 - i)), F.lit(k)).otherwise(name)
-        value = F.coalesce(*[F.col(k).cast("string") for k in keys])
-        return summed.withColumns({"key_name": name, "key_value": value}).drop("__gid", *keys), sources
+        return by_single_key(fact, list(sources), [*[_MEASURES[m][0]().alias(m) for m in which], *extra]), sources
 
     # -- two-level aggregation ----------------------------------------------
     def measures(

@@ -46,12 +46,14 @@ def _catalog(p: Params) -> dict[str, Callable[[CrmModel], DataFrame]]:
         "orphan_products": quality.orphan_products,
         "value_repair": lambda m: quality.value_repair(m, dict(p.repairs) or None),
         "accounts_without_won_deals": quality.accounts_without_won_deals,
+        "products_without_won_deals": quality.products_without_won_deals,
         "repeated_opportunities": quality.repeated_opportunities,
         "fk_violations": quality.fk_violations,
         "duplicate_keys": quality.duplicate_keys,
         "full_sales": lambda m: m.frame(),
         "null_counts": quality.null_counts,
         "column_catalog": quality.column_catalog,
+        "distinct_counts": quality.distinct_counts,
         "string_columns": lambda m: quality.column_catalog(m, data_type="string"),
         # exploration
         "product_numbering": explore.product_numbering,

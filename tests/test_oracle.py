@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
 from salescope import registry
-from tools.compare_oracle import TABLES, canon
+from tools.compare_oracle import canon
 
 SF = "/root/testdata/sf0.001"
 # Spark type name -> DuckDB type name of the same values
@@ -19,8 +21,8 @@ SQL = entry_module.oracle_sql()
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in TABLES:
-        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    for path in Path(SF).glob("*.parquet"):
+        c.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{path}')")
     return c
 
 
