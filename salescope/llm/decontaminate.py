@@ -181,11 +181,13 @@ def _cut(docs: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", **parameters) -> DataFrame:
     """``docs`` without the contaminated documents (``remove="documents"``) or
-    with their hit spans cut from the text (``"spans"``)."""
-    found = contamination(docs, benchmark, **parameters)
+    with their hit spans cut from the text (``"spans"``).  Columns of ``docs``
+    that are named like the found ones stay as they are."""
+    aside = {c: f"_own_{c}" for c in docs.columns if c in _FOUND}
+    found = contamination(docs.withColumnsRenamed(aside), benchmark, **parameters)
+    back = [F.col(aside.get(c, c)).alias(c) for c in docs.columns]
     if remove == "documents":
-        return found.where(F.size("hit_spans") == 0).select(*docs.columns)
+        return found.where(F.size("hit_spans") == 0).select(*back)
     if remove == "spans":
-        return _cut(found).select(*docs.columns)
+        return _cut(found).select(*back)
     raise ValueError("remove must be 'documents' or 'spans'")
-

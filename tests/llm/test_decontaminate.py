@@ -75,3 +75,5 @@ def test_removal_and_empty_tables(spark):
     assert decontaminate(df.limit(0), tests).count() == 0
     assert decontaminate(df, tests.limit(0)).count() == 3
     assert decontaminate(df, tests).columns == df.columns
+    for how in ("documents", "spans"):  # a column named like a found one stays
+        assert {r.n_words for r in decontaminate(df, tests, remove=how).collect()} <= {5, 6, 7}
