@@ -293,7 +293,7 @@ def forest(
 # --- the operator --------------------------------------------------------------------
 
 
-def near_duplicates(
+def _components(
     docs: DataFrame,
     shingle: int = 5,
     percent: int = 80,
@@ -301,17 +301,10 @@ def near_duplicates(
     levels: int = 4,
     leaf: int = 4096,
     leaf_shingles: int = 2_000_000,
-) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, kept)`` for every row of ``docs``.
-
-    Documents are linked if ``100 * common >= percent * union`` of their
-    distinct word shingles (words lower-cased A-Z, parted by white space; fewer
-    words than a shingle make one).  A text without words or null has no
-    shingles and is linked with nothing.  ``component_id`` is the smallest
-    doc_id reachable; rows that repeat a doc_id are rows of their own.  With
-    the defaults a pair at the threshold shares a leaf with a probability over
-    0.999.  An empty table gives an empty result.
-    """
+) -> tuple[DataFrame, DataFrame]:
+    """The sketched rows of ``docs``, and for the key of every class
+    ``(key, component_id, first_row)``: the smallest doc_id of its component,
+    and the name of the row that has it (null ids last, then by row name)."""
     similarity = percent / 100
     rows = materialise(_sketches(docs, shingle), "sketches")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
@@ -346,11 +339,29 @@ def near_duplicates(
 
     linked = components(forest(members, with_texts, SetLinks(shingle, percent), leaf, leaf_shingles))
 
-    ids = linked.join(classes.select(F.col("cid").alias("v"), "doc_id"), "v")
-    lowest = ids.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    of_class = linked.join(lowest, "root").select(F.col("v").alias("cid"), "component_id")
-    named = classes.select("cid", "key", "doc_id").join(of_class, "cid", "left")
-    named = named.select(F.col("key"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    ids = linked.join(classes.select(F.col("cid").alias("v"), "doc_id", "row"), "v")
+    lowest = ids.groupBy("root").agg(first.alias("lowest"))
+    of_class = linked.join(lowest, "root").select(F.col("v").alias("cid"), "lowest")
+    named = classes.select("cid", "key", "doc_id", "row").join(of_class, "cid", "left")
+    return rows, named.select(
+        "key",
+        F.coalesce("lowest.doc_id", "doc_id").alias("component_id"),
+        F.coalesce("lowest.row", "row").alias("first_row"),
+    )
+
+
+def near_duplicates(docs: DataFrame, **parameters) -> DataFrame:
+    """``(doc_id, n_shingles, component_id, kept)`` for every row of ``docs``.
+
+    Documents are linked if ``100 * common >= percent * union`` of their
+    distinct word shingles (words lower-cased A-Z, parted by white space; fewer
+    words than a ``shingle`` make one).  A text without words or null has no
+    shingles and is linked with nothing.  ``component_id`` is the smallest
+    doc_id reachable; rows that repeat a doc_id are rows of their own.  With
+    the defaults a pair at the threshold shares a leaf with a probability over
+    0.999.  An empty table gives an empty result.
+    """
+    rows, named = _components(docs, **parameters)
     out = rows.select("doc_id", "n", "key").join(named, "key", "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
@@ -366,8 +377,18 @@ def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def deduplicate(docs: DataFrame, **parameters) -> DataFrame:
-    """``docs`` with one row of each near-duplicate group: the row of the
-    smallest doc_id, and one of the rows that repeat it."""
-    kept = near_duplicates(docs, **parameters).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    same = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    return same.dropDuplicates(["doc_id"])
+    """``docs`` with one row of each near-duplicate group, and every row whose
+    text has no words.
+
+    Of a group the row of the smallest doc_id stays (null ids last; of several
+    texts with that id the one of the lowest row name; of rows that repeat both
+    the first by their other columns).  Rows are chosen by id and text, so rows
+    of one id, or without one, that differ are judged apart.
+    """
+    chosen = _components(docs, **parameters)[1].select(F.col("first_row").alias("_row")).distinct()
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    order = F.to_json(F.struct(*others), {"ignoreNullFields": "false"}) if others else F.lit("")
+    same = docs.select(F.struct(*docs.columns).alias("_doc"), order.alias("_order"), _row().alias("_row")).join(chosen, "_row", "left_semi")
+    one = same.groupBy("_row").agg(F.min_by("_doc", "_order").alias("_doc")).select("_doc.*")
+    wordless = docs.where(~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
+    return one.unionByName(wordless)

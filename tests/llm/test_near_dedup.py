@@ -77,6 +77,46 @@ def test_repeated_ids_nulls_and_empty_tables(spark):
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == [1, 8, None]
 
 
+def groups_of(rows, k, percent):
+    """Component number of every row, by brute force; None without shingles."""
+    sets = [shingles(t, k) for _, t in rows]
+    comp = [i if s else None for i, s in enumerate(sets)]
+    for i in range(len(rows)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if common and 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common) and comp[i] != comp[j]:
+                old, new = comp[i], comp[j]
+                comp = [new if c == old else c for c in comp]
+    return comp
+
+
+def check_one_of_each_group(rows, kept, k, percent):
+    """One text of every group, of its smallest id, and all texts without words."""
+    comp = groups_of(rows, k, percent)
+    rank = lambda i: (i is None, i or 0)
+    low = {}
+    for (i, _), c in zip(rows, comp, strict=True):
+        if c is not None:
+            low[c] = min(low.get(c, i), i, key=rank)
+    of = {(i, t): c for (i, t), c in zip(rows, comp, strict=True)}
+    worded = [r for r in kept if of[r] is not None]
+    assert sorted(of[r] for r in worded) == sorted(low)
+    assert all(r[0] == low[of[r]] for r in worded)
+    bare = [r for r, c in zip(rows, comp, strict=True) if c is None]
+    assert sorted((r for r in kept if of[r] is None), key=repr) == sorted(bare, key=repr)
+
+
+def test_deduplicate_keeps_a_text_of_every_group(spark, corpus):
+    """Ids repeat and a third of them is missing; texts are compared."""
+    few = [(1, "a b c d e f"), (1, "a b c d e f"), (1, "x y z u v w"), (None, "a b c d e f"), (None, "k l m n o p"), (7, "x y z u v w"), (8, None), (8, None)]
+    many = [(None if i % 3 == 0 else i % 40, t) for i, t in corpus]
+    for rows in (few, many):
+        df = spark.createDataFrame([(*r, n % 4) for n, r in enumerate(rows)], "doc_id long, text string, source int")
+        got = [deduplicate(df.repartition(n), shingle=3, percent=85).collect() for n in (1, 5)]
+        assert sorted(got[0], key=repr) == sorted(got[1], key=repr)
+        check_one_of_each_group(rows, [(r.doc_id, r.text) for r in got[0]], 3, 85)
+
+
 def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000, 1001), (1002, 1001), (5, 5)] + [(2000, i) for i in range(2001, 2100)]
     got = {r.v: r.root for r in components(spark.createDataFrame(edges, "a long, b long").repartition(4)).collect()}

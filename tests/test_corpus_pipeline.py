@@ -1,0 +1,41 @@
+"""The corpus pipeline against brute force on rows with repeated and null ids."""
+
+from __future__ import annotations
+
+import random
+
+import corpus_pipeline
+from tests.llm.test_near_dedup import check_one_of_each_group, edited, groups_of
+
+
+def corpus():
+    draw = random.Random(9)
+    rows = []
+    for _ in range(20):
+        words = [f"w{draw.randrange(3000)}" for _ in range(90)]
+        rows += [" ".join(edited(draw, words, n % 2)) for n in range(4)]
+    draw.shuffle(rows)
+    return [(None if i % 3 == 0 else i % 11, t) for i, t in enumerate(rows)]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, "en", f"s{n % 4}") for n, r in enumerate(rows)], "doc_id long, text string, lang string, source string")
+
+
+def test_near_dedup_stage_keeps_a_text_of_every_group(spark):
+    rows = [*corpus(), (None, None), (None, ""), (3, " ")]
+    docs = frame(spark, rows)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs.repartition(3), "")
+    assert kept.columns == docs.columns
+    check_one_of_each_group(rows, [(r.doc_id, r.text) for r in kept.collect()], 5, 80)
+
+
+def test_run_packs_every_group_once(spark, tmp_path):
+    """Without labels only the base counts reject, here the short texts."""
+    rows = [*corpus(), (None, "too short"), (5, None)]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "nothing of the sort")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    long = [r for r in rows if r[1] and len(r[1].split()) >= 50]
+    assert len(packed) == len(set(groups_of(long, 5, 80)))
