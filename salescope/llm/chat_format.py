@@ -4,7 +4,8 @@ written as canonical JSON.  DataFrame operations only.
 ``tool_traffic`` reads calls and results out of messages, ``link_calls`` joins
 them by identifier, orders them topologically by their dependencies, checks
 the arguments against the tools' schemas and serialises every call as one line
-of canonical JSON (sorted keys, no blanks, plain characters).
+of canonical JSON (sorted keys, no blanks, plain characters).  ``unlinked``
+gives the messages that are neither, so that none is missing.
 """
 
 from __future__ import annotations
@@ -35,6 +36,38 @@ def _text(value: Column, path: str) -> Column:
     return F.try_variant_get(value, path, "string")
 
 
+def _read(messages: DataFrame) -> DataFrame:
+    """Messages with ``listed`` (their tool calls, null if none), ``answers``
+    (the call that a message of role ``tool`` answers), and ``said`` with
+    ``told`` as JSON (the text besides calls and answers, null if none)."""
+    rows = messages.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumn("doc", F.when(F.col("text").startswith("{"), F.try_parse_json("text")))
+    listed = F.try_variant_get("doc", "$.tool_calls", "array<variant>")
+    content = F.try_variant_get("doc", "$.content", "variant")
+    kind = F.schema_of_variant("content")
+    rows = rows.withColumns(
+        {
+            "has_list": listed.isNotNull(),
+            "listed": F.when(F.size(listed) > 0, listed),
+            "answers": F.when(F.col("role") == "tool", _text(F.col("doc"), "$.tool_call_id")),
+            "content": content,
+        }
+    )
+    rows = rows.withColumn("content", F.when(kind != "VOID", F.col("content")))
+    written = F.when(kind == "STRING", F.try_variant_get("content", "$", "string")).otherwise(F.to_json("content"))
+    # an empty content beside calls says nothing
+    said = (
+        F.when(F.col("answers").isNotNull(), F.lit(None))
+        .when(F.col("listed").isNotNull(), F.when(written != "", written))
+        .when(F.col("has_list"), F.coalesce(written, F.col("text")))
+        .otherwise(F.col("text"))
+    )
+    rows = rows.withColumn("said", said)
+    quoted = F.to_json(F.to_variant_object(F.array("said")))
+    told = F.when(F.col("has_list") & F.col("content").isNotNull(), F.to_json("content"))
+    return rows.withColumn("told", F.when(F.col("said").isNotNull(), F.coalesce(told, F.substring(quoted, F.lit(2), F.length(quoted) - 2))))
+
+
 def tool_traffic(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls ``(conv_id, call_id, turn, pos, name, arguments, depends_on)`` and
     results ``(conv_id, call_id, turn, content)`` of messages (conv_id, turn,
@@ -46,11 +79,13 @@ def tool_traffic(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     turn for ``configure``, a user turn for ``reply`` that depends on the
     user's turn before, and an assistant turn is the result for the turn before
     it; their identifiers are ``turn-<turn>``.  A null text counts as empty.
+
+    The ``content`` beside ``tool_calls`` is a plain turn of its role, besides
+    the calls; a message with an empty list is one too (without a content, its
+    whole text).  ``tool_call_id`` means nothing in other roles than ``tool``.
+    What is left over is in :func:`unlinked`.
     """
-    rows = messages.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("doc", F.when(F.col("text").startswith("{"), F.try_parse_json("text")))
-    listed = F.try_variant_get("doc", "$.tool_calls", "array<variant>")
-    rows = rows.withColumns({"listed": listed, "answers": _text(F.col("doc"), "$.tool_call_id")})
+    rows = _read(messages)
     call = F.col("call")
     explicit = rows.where("listed is not null").select("conv_id", "turn", F.posexplode("listed").alias("pos", "call"))
     explicit = explicit.select(
@@ -62,7 +97,7 @@ def tool_traffic(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.to_json(F.try_variant_get(call, "$.arguments", "variant")).alias("arguments"),
         F.coalesce(F.try_variant_get(call, "$.depends_on", "array<string>"), F.array().cast("array<string>")).alias("depends_on"),
     )
-    plain = rows.where("listed is null and answers is null")
+    plain = rows.where("said is not null").withColumn("text", F.col("said"))
     name = lambda t: F.concat(F.lit("turn-"), t.cast("string"))
     words = F.size(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
     asked = F.col("role") == "user"
@@ -80,13 +115,44 @@ def tool_traffic(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     told = rows.where("answers is not null and role = 'tool'").select(
         "conv_id", F.col("answers").alias("call_id"), "turn", F.to_json(F.try_variant_get("doc", "$.content", "variant")).alias("content")
     )
-    said = plain.where("role = 'assistant'").select(
-        "conv_id", name(F.col("turn") - 1).alias("call_id"), "turn", F.to_json(F.to_variant_object(F.array("text"))).alias("content")
-    )
-    said = said.withColumn("content", F.expr("substring(content, 2, length(content) - 2)"))
+    said = plain.where("role = 'assistant'").select("conv_id", name(F.col("turn") - 1).alias("call_id"), "turn", F.col("told").alias("content"))
     return explicit.unionByName(turns), told.unionByName(said)
 
 
+def unlinked(messages: DataFrame) -> DataFrame:
+    """The messages that neither call nor answer, as rows of
+    :func:`link_calls`: those of a role other than user, system and assistant
+    (null too), among them the plain texts of role ``tool``.  Their status is
+    ``unlinked``, their text is the ``result`` of the line, which names the
+    ``role``; equal ones are counted in ``copies``."""
+    plain = _read(messages).where("said is not null and coalesce(role not in ('user', 'system', 'assistant'), true)")
+    plain = plain.groupBy("conv_id", "turn", "role", "told").agg(F.count(F.lit(1)).alias("copies"))
+    none, no = F.lit(None), F.array().cast("array<string>")
+    line = F.struct(
+        none.cast("string").alias("arguments"),
+        none.cast("string").alias("id"),
+        none.cast("int").alias("level"),
+        none.cast("string").alias("name"),
+        F.try_parse_json("told").alias("result"),
+        F.col("role"),
+        F.lit("unlinked").alias("status"),
+    )
+    return plain.select(
+        "conv_id",
+        none.cast("string").alias("call_id"),
+        "turn",
+        none.cast("int").alias("pos"),
+        none.cast("int").alias("level"),
+        none.cast("string").alias("name"),
+        F.lit("unlinked").alias("status"),
+        no.alias("errors"),
+        no.alias("missing"),
+        "copies",
+        F.lit(0).cast("long").alias("n_results"),
+        F.to_json(line, {"ignoreNullFields": "false"}).alias("json"),
+    )
+
+
 def _type_is(found: Column, wanted: str) -> Column:
     return {
         "string": found == "STRING",
@@ -232,5 +298,7 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
 
 
 def format_chats(messages: DataFrame, schemas: dict[str, dict] | None = None) -> DataFrame:
-    """:func:`link_calls` of the :func:`tool_traffic` of ``messages``."""
-    return link_calls(*tool_traffic(messages), TURN_SCHEMAS if schemas is None else schemas)
+    """:func:`link_calls` of the :func:`tool_traffic` of ``messages``, and
+    their :func:`unlinked` ones: every message is in some row."""
+    linked = link_calls(*tool_traffic(messages), TURN_SCHEMAS if schemas is None else schemas)
+    return linked.unionByName(unlinked(messages))

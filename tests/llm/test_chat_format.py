@@ -108,3 +108,49 @@ def test_word_count_matches_plain_split(spark):
     df = spark.createDataFrame([(i, 0, "user", t) for i, t in enumerate(texts)], "conv_id long, turn long, role string, text string")
     got = {r.conv_id: json.loads(r.json)["arguments"]["words"] for r in format_chats(df).collect()}
     assert got == {i: len(re.findall(r"[^\x20\x09-\x0D]+", t)) for i, t in enumerate(texts)}
+
+
+def test_no_message_is_missing(spark):
+    call = {"id": "k", "name": "reply", "arguments": {}}
+    rows = [
+        (1, 0, "user", "asked"),
+        (1, 1, "assistant", json.dumps({"content": "beside", "tool_calls": [call]})),
+        (1, 2, "tool", "plain result"),
+        (1, 3, None, "no role"),
+        (1, 4, "critic", '{"tool_call_id":"k","content":1}'),
+        (1, 4, "critic", '{"tool_call_id":"k","content":1}'),
+        (2, 0, "user", '{"tool_call_id":"x","content":"c"}'),
+        (2, 1, "assistant", '{"tool_calls":[],"content":[1,"a"]}'),
+        (2, 2, "user", '{"tool_calls":[]}'),
+        (2, 3, "assistant", json.dumps({"content": None, "tool_calls": [call]})),
+        (2, 4, None, None),
+        (2, 5, None, json.dumps({"content": "said", "tool_calls": [{**call, "id": "l"}]})),
+        (2, 6, "tool", json.dumps({"content": {"b": 1}})),
+        (2, 7, "tool", '{"tool_call_id":"l","content":"done"}'),
+    ]
+    out = format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)).collect()
+    loose = {(r.conv_id, r.turn): r for r in out if r.status == "unlinked"}
+    by = {(r.conv_id, r.call_id): r for r in out if r.status != "unlinked"}
+    assert len(loose) + len(by) == len(out)
+    text = {k: (json.loads(r.json)["role"], json.loads(r.json)["result"], r.copies) for k, r in loose.items()}
+    assert text == {
+        (1, 2): ("tool", "plain result", 1),
+        (1, 3): (None, "no role", 1),
+        (1, 4): ("critic", rows[4][3], 2),
+        (2, 4): (None, "", 1),
+        (2, 5): (None, "said", 1),
+        (2, 6): ("tool", '{"content": {"b": 1}}', 1),
+    }
+    status = {k: (r.status, json.loads(r.json)["result"]) for k, r in by.items()}
+    assert status == {
+        (1, "turn-0"): ("linked", "beside"),
+        (1, "k"): ("unanswered", None),
+        (2, "turn-0"): ("linked", [1, "a"]),
+        (2, "turn-2"): ("unanswered", None),
+        (2, "k"): ("unanswered", None),
+        (2, "l"): ("linked", "done"),
+    }
+    assert json.loads(by[2, "turn-0"].json)["arguments"]["prompt"] == rows[6][3]
+    assert json.loads(by[2, "turn-2"].json)["arguments"]["prompt"] == rows[8][3]
+    for r in loose.values():
+        assert r.json == json.dumps(json.loads(r.json), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
