@@ -1,12 +1,13 @@
 from __future__ import annotations
 
+import inspect
 import random
 import zlib
 
 import numpy as np
 import pytest
 
-from salescope.llm.toxicity import DECAY, LENGTH, SPAN, _norm, kernel, score, toxicity, train
+from salescope.llm.toxicity import DECAY, LENGTH, SPAN, _norm, fit, kernel, labelled_sample, score, toxicity, train
 
 INSULTS = ["blockhead", "nitwit", "numbskull", "dimwit"]
 
@@ -90,3 +91,10 @@ def test_edges(spark, model):
     assert score(df.limit(0), model).count() == 0
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert toxicity(df, none).where("predicted = 1").count() == 0
+
+
+def test_default_sample_takes_1500_toxic_and_6000_harmless(spark):
+    bounds = [inspect.signature(fit).parameters[n].default for n in ("n_toxic", "n_harmless")]
+    docs = spark.range(8000).selectExpr("id doc_id", "'a' text")
+    labels = docs.selectExpr("doc_id", "int(doc_id < 1600) toxic")
+    assert {r.toxic: r["count"] for r in labelled_sample(docs, labels, *bounds).groupBy("toxic").count().collect()} == {1: 1500, 0: 6000}
