@@ -1,0 +1,180 @@
+import hashlib
+import random
+import re
+import sys
+import zlib
+from functools import lru_cache
+from itertools import groupby
+
+import pytest
+
+from salescope.llm.turn_repair import RESULT, damaged, repair, repair_damaged, repaired
+
+sys.setrecursionlimit(10_000)
+SCHEMA = "conv_id long, turn long, role string, text string, audit string"
+NEXT = {("0", "s"): "s", ("0", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+NAME = {"u": "user", "a": "assistant"}
+
+
+def plan(rows):
+    """Cheapest edits by recursion over whole edit strings."""
+
+    @lru_cache(maxsize=None)
+    def best(i, state, grown):
+        ways = []
+        if i == len(rows) and state in ("0", "a"):
+            ways.append((0, "", ()))
+        to_add = [(n, NAME[n]) for n in "ua" if (state, n) in NEXT]
+        if grown < 3:
+            for n, role in to_add:
+                cost, audit, said = best(i, n, grown + 1)
+                ways.append((cost + 3, "I" + audit, ((role, ""), *said)))
+        if i < len(rows):
+            role, text, fault = rows[i]
+            cost, audit, said = best(i + 1, state, 0)
+            ways.append((cost + 4, "D" + audit, said))
+            if fault not in ("blank", "duplicate"):
+                extra = 3 if fault == "truncated" else 0
+                if (state, role[:1]) in NEXT:
+                    cost, audit, said = best(i + 1, NEXT[state, role[:1]], 0)
+                    ways.append((cost + extra, "K" + audit, ((role, text), *said)))
+                for n, new in to_add:
+                    cost, audit, said = best(i + 1, n, 0)
+                    ways.append((cost + extra + 3, "R" + audit, ((new, text), *said)))
+        return min(ways) if ways else (10**9, "~", ())
+
+    return best(0, "0", 0)
+
+
+def brute(messages):
+    """{conv_id: values of RESULT} of rows in order."""
+    out = {}
+    for conv_id, rows in groupby(messages, key=lambda r: r[0]):
+        seen, faulty, turns, role_marks = set(), [], [], ""
+        count = dict.fromkeys(("blank", "duplicate", "truncated"), 0)
+        for _, turn, role, text in rows:
+            fault = None
+            if not re.search(r"[^\x20\x09-\x0D]", text):
+                fault = "blank"
+            elif (role, text) in seen:
+                fault = "duplicate"
+            elif re.search(r"([^\x20\x09-\x0D])[\x20\x09-\x0D]*\Z", text)[1] not in ".!?":
+                fault = "truncated"
+            seen.add((role, text))
+            if fault:
+                count[fault] += 1
+            faulty.append((role, text, fault))
+            role_marks += role[:1] or "-"
+            if turn is not None:
+                turns.append(turn)
+        cost, audit, said = plan(tuple(faulty))
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(role_marks, role_marks[1:]))
+        lines = "\n".join(f"{r}:{t}" for r, t in said)
+        out[conv_id] = (gaps, *count.values(), illegal, cost, audit, hashlib.sha256(lines.encode()).hexdigest())
+    return out
+
+
+def key(row):
+    conv_id, turn, role, text = row
+    return (conv_id is not None, conv_id or 0, turn is not None, turn or 0, role, text)
+
+
+def plain(rows):
+    return sorted(((c, t, " " if r is None else r, " " if x is None else x) for c, t, r, x in rows), key=key)
+
+
+def some(rng, conversations, most, nulls=True):
+    roles = ["system", "user", "assistant", "user", "assistant", "tool", "", "stranger"]
+    texts = ["Yes.", "No!", "and then", "", " \t\n", "Sure? ", "ok.\n", "a.b", "über…", " ", "Yes."]
+    rows = []
+    for c in range(conversations):
+        for t in range(rng.randrange(most)):
+            turn = None if nulls and rng.random() < 0.05 else t + rng.choice([0, 0, 0, 1, 3])
+            role = None if nulls and rng.random() < 0.05 else rng.choice(roles)
+            text = None if nulls and rng.random() < 0.05 else rng.choice(texts) + (str(rng.randrange(3)) + "." if rng.random() < 0.5 else "")
+            rows.append((None if nulls and c == 0 else c, turn, role, text))
+    return rows
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, "own") for r in rows], SCHEMA)
+
+
+def found(df):
+    return {r["conv_id"]: tuple(r[c] for c in RESULT) for r in df.collect()}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_equals_the_recursion(spark, seed):
+    rows = some(random.Random(seed), 150, 9)
+    assert found(repair(frame(spark, rows))) == brute(plain(rows))
+
+
+def test_a_long_conversation_spills_and_crosses_batches(spark):
+    rng = random.Random(9)
+    rows = [(1, t, rng.choice(["user", "assistant"]), f"{rng.randrange(200)}{rng.choice(['.', ''])}") for t in range(230)]
+    rows += [(2, t, "user", f"{t}.") for t in range(5)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    try:
+        got = found(repair(frame(spark, rows), held=50))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == brute(plain(rows))
+
+
+def wounded(rows):
+    out = []
+    for conv_id, turn, role, text in rows:
+        say = lambda x: " " if x is None else str(x)
+        fault = zlib.crc32(f"{say(conv_id)}:{say(turn)}".encode()) % 20
+        role, text = say(role), say(text)
+        if fault == 1:
+            text = ""
+        if fault == 2:
+            text = re.sub("[.!?]", "", text)
+        if fault == 4:
+            role = "user"
+        out += [(conv_id, turn, role, text)] * (0 if fault == 0 else 2 if fault == 3 else 1)
+    return out
+
+
+def test_damage_and_conversations_that_vanish(spark):
+    rows = some(random.Random(4), 300, 4)
+    ours = found(repair_damaged(frame(spark, rows)))
+    wanted = brute(sorted(wounded(rows), key=key))
+    empty = (0, 0, 0, 0, 0, 0, "", hashlib.sha256().hexdigest())
+    assert ours == {c: wanted.get(c, empty) for c in {r[0] for r in rows}}
+    assert any(c not in wanted for c in ours)
+
+
+def test_whole_table(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
+    rows = [tuple(r) for r in table.select("conv_id", "turn", "role", "text").collect()]
+    wanted = brute(sorted(wounded(rows), key=key))
+    ours = found(repair_damaged(table))
+    assert {c: v for c, v in ours.items() if c in wanted} == wanted
+    assert set(ours) == {r[0] for r in rows}
+
+
+def test_repaired_rows_have_the_hash_of_their_conversation(spark):
+    rows = some(random.Random(12), 60, 9)
+    df = frame(spark, rows)
+    told = {}
+    for r in sorted(repaired(df).collect(), key=lambda r: r["place"]):
+        told.setdefault(r["conv_id"], []).append((r["place"], f"{r['role']}:{r['text']}"))
+    for conv_id, values in found(repair(df)).items():
+        lines = told.get(conv_id, [])
+        assert [p for p, _ in lines] == list(range(len(lines)))
+        assert hashlib.sha256("\n".join(x for _, x in lines).encode()).hexdigest() == values[-1]
+
+
+def test_empty_table(spark):
+    assert found(repair_damaged(frame(spark, []))) == {}
+    assert damaged(frame(spark, [])).count() == 0
+    assert repaired(frame(spark, [])).count() == 0
+
+
+def test_one_shuffle(spark, capsys):
+    repair(frame(spark, [(1, 1, "user", "a.")])).explain()
+    assert capsys.readouterr().out.count("Exchange") == 1
