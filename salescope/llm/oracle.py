@@ -41,4 +41,35 @@ SELECT sets.doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles, coalesce(lowest.c
 FROM sets LEFT JOIN classes ON classes.s = sets.s LEFT JOIN lowest ON lowest.c = classes.c
 """
 
-SQL: dict[str, str] = {"op6_decontamination": DECONTAMINATION, "op8_near_duplicates": NEAR_DUPLICATES}
+
+
+def _clusters(k: int = 40, rounds: int = 5, dims: int = 64, seed: str = "2") -> str:
+    """Integer k-means, one pair of steps a round; rows in place of arrays."""
+    steps = [
+        f"""
+v AS (SELECT row_number() OVER () AS r, vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS q
+      FROM embeddings WHERE len(embedding) = {dims}
+      AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = {dims}),
+parts AS MATERIALIZED (SELECT r, unnest(range({dims})) AS j, unnest(q) AS x FROM v),
+c0 AS (SELECT c, unnest(range({dims})) AS j, unnest(q) AS x FROM
+       (SELECT row_number() OVER (ORDER BY sha256('{seed}:' || coalesce(CAST(vec_id AS VARCHAR), '')), q) - 1 AS c, q FROM v) WHERE c < {k})"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""
+d{i} AS (SELECT p.r, c.c, sum((p.x - c.x) * (p.x - c.x)) AS d FROM parts p JOIN c{i} c ON p.j = c.j GROUP BY p.r, c.c),
+a{i} AS MATERIALIZED (SELECT r, arg_min(c, (d, c)) AS c, min(d) AS d FROM d{i} GROUP BY r)""")
+        if i < rounds:
+            steps.append(f"""
+m{i} AS (SELECT a.c, p.j, sum(p.x) AS s, count(*) AS n FROM parts p JOIN a{i} a ON a.r = p.r GROUP BY a.c, p.j),
+c{i + 1} AS MATERIALIZED (SELECT c.c, c.j, coalesce((m.s - ((m.s % m.n) + m.n) % m.n) // m.n, c.x) AS x
+      FROM c{i} c LEFT JOIN m{i} m ON m.c = c.c AND m.j = c.j)""")
+    return f"""WITH {",".join(steps)},
+names AS (SELECT c, sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY j)) AS name FROM c{rounds} GROUP BY c)
+SELECT v.vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(a.d AS BIGINT) AS distance,
+       CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(a.d) OVER () AS BIGINT) AS inertia,
+       names.name AS centroid_sha256
+FROM v JOIN a{rounds} a ON a.r = v.r JOIN names ON names.c = a.c
+"""
+
+
+SQL: dict[str, str] = {"op12_centroid_clusters": _clusters(), "op6_decontamination": DECONTAMINATION, "op8_near_duplicates": NEAR_DUPLICATES}

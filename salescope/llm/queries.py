@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
+from salescope.llm.centroid_clusters import centroid_clusters
 from salescope.llm.chat_format import format_chats
 from salescope.llm.decontaminate import contamination
 from salescope.llm.html_extract import main_text
@@ -18,6 +19,7 @@ from salescope.llm.packing import pack
 from salescope.llm.quality_rules import quality_rules
 from salescope.llm.token_counts import token_counts
 from salescope.llm.toxicity import held_out, toxicity
+from salescope.llm.turn_repair import repair_damaged
 from salescope.llm.url_trust import Rule, judge_urls
 
 #: Rules of the URL filter.
@@ -93,6 +95,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters(_read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_damaged(_read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -106,6 +116,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_near_duplicates,
         op9_toxicity,
         op10_packing,
+        op12_centroid_clusters,
+        op13_turn_repair,
     )
 }
 
