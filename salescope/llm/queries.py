@@ -16,6 +16,7 @@ from salescope.llm.kd_shards import kd_shards
 from salescope.llm.near_dedup import near_duplicates
 from salescope.llm.oracle import SQL
 from salescope.llm.packing import pack
+from salescope.llm.quality_classifier import quality_classifier
 from salescope.llm.quality_rules import quality_rules
 from salescope.llm.token_counts import token_counts
 from salescope.llm.toxicity import held_out, toxicity
@@ -95,6 +96,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality_classifier(docs, _read(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return judged.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroid_clusters(_read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
@@ -116,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_near_duplicates,
         op9_toxicity,
         op10_packing,
+        op11_quality_classifier,
         op12_centroid_clusters,
         op13_turn_repair,
     )
