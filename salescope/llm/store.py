@@ -7,8 +7,11 @@ in a folder of the application, which :func:`clear` removes.
 
 from __future__ import annotations
 
+import os
 import uuid
 
+import numpy as np
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 from salescope.plans.session import checkpoint_root, session_key
@@ -26,6 +29,37 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder of the shared store for files that tasks write themselves,
+    as a URI that :func:`write_bytes` and :func:`read_bytes` take."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{_folder(spark)}/{name}-{uuid.uuid4().hex}")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found.mkdirs(path)
+    uri = found.makeQualified(path).toString()
+    return "file://" + uri[5:] if uri.startswith("file:/") and not uri.startswith("file://") else uri
+
+
+def write_bytes(uri: str, parts: list[bytes | memoryview]) -> str:
+    """Write a file under a name of its own (a lost or doubled task leaves
+    other files alone) and return its URI."""
+    uri = f"{uri}-{uuid.uuid4().hex}"
+    system, path = fs.FileSystem.from_uri(uri)
+    with system.open_output_stream(path) as out:
+        for part in parts:
+            out.write(part)
+    return uri
+
+
+def read_bytes(uri: str) -> np.ndarray:
+    """The bytes of a file: mapped, not read, where the store is a file system
+    of the machine."""
+    system, path = fs.FileSystem.from_uri(uri)
+    if isinstance(system, fs.LocalFileSystem):
+        return np.memmap(path, dtype=np.uint8, mode="r") if os.path.getsize(path) else np.zeros(0, np.uint8)
+    with system.open_input_file(path) as source:
+        return np.frombuffer(source.read(), dtype=np.uint8)
+
+
 def clear(spark: SparkSession) -> None:
     """Remove the application's intermediate tables (call when their readers
     are done)."""
@@ -33,9 +67,3 @@ def clear(spark: SparkSession) -> None:
     path = jvm.org.apache.hadoop.fs.Path(_folder(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
-
-def columns_or_null(df: DataFrame, **types: str) -> DataFrame:
-    """Project the named columns, cast to their types."""
-    from pyspark.sql import functions as F
-
-    return df.select(*[F.col(c).cast(t).alias(c) for c, t in types.items()])
