@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import random
 import re
 
 from salescope.llm.chat_format import format_chats, link_calls
@@ -154,3 +155,84 @@ def test_no_message_is_missing(spark):
     assert json.loads(by[2, "turn-2"].json)["arguments"]["prompt"] == rows[8][3]
     for r in loose.values():
         assert r.json == json.dumps(json.loads(r.json), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+
+
+def plain_links(calls, results):
+    """{(conv_id, call_id, turn, pos, name): (status, level, missing, n_results, copies)}, by plain Python."""
+    heads, needs, told = {}, {}, {}
+    for c in calls:
+        key = c[:2]
+        if None not in key:
+            heads[key] = min(heads.get(key, c[2:6]), c[2:6])
+            needs.setdefault(key, set()).update((key[0], d) for d in c[6])
+    for r in results:
+        told.setdefault(r[:2], []).append(r)
+
+    def level(key, above=()):
+        if key in above:
+            return None
+        below = [level(n, (*above, key)) for n in needs[key] if n in heads]
+        return None if None in below else 1 + max(below, default=-1)
+
+    levels = {k: level(k) for k in heads}
+    out = {}
+    for c in calls:
+        key, at = c[:2], c[2:6]
+        if None in key:
+            found = ("unanswered", None, (), 0)
+        else:
+            status = "repeated" if at != heads[key] else "cyclic" if levels[key] is None else "linked" if key in told else "unanswered"
+            gone = {d for o in calls if o[:4] == c[:4] for d in o[6] if (key[0], d) not in heads}
+            found = (status, levels[key], tuple(sorted(gone)), len(told.get(key, ())) if at == heads[key] else 0)
+        out[(*c[:5], *c[6])] = (*found, out.get((*c[:5], *c[6]), (0,) * 5)[4] + 1)
+    return out, {k: len(v) for k, v in told.items() if k not in heads}
+
+
+def test_equals_plain_python(spark):
+    draw = random.Random(7)
+    calls, results = [], []
+    for conv in range(40):
+        n = draw.randrange(1, 14)
+        names = [f"c{i}" for i in range(n)]
+        for i, name in enumerate(names):
+            few = draw.choice([0, 1, 1, 1, 2, 3])
+            pool = names[:i] + ["gone"] if draw.random() < 0.9 else names
+            deps = sorted(set(draw.choices(pool, k=few)))
+            calls.append((conv, name, i, 0, "free", "{}", deps))
+            if draw.random() < 0.1:
+                calls.append((conv, name, i + 20, 0, "free", "{}", []))
+            results += [(conv, name, i + 1, "1")] * draw.choice([0, 1, 1, 2])
+        results += [(conv, "stray", 3, "1")] * draw.randrange(2)
+    calls += [(99, f"d{i}", i, 0, "free", "{}", [f"d{i - 1}"] if i else []) for i in range(70)]  # a long chain
+    calls += [(None, "n", i, 0, "free", "{}", []) for i in range(300)] + [(5, None, i, 0, "free", "{}", []) for i in range(300)]
+    calls += [(98, "hot", i, 0, "free", "{}", []) for i in range(400)]
+    results += [(98, "hot", i, "2") for i in range(50)]
+    links, orphans = plain_links(calls, results)
+    rows = run(spark, calls, results)
+    deps = {c[:5]: tuple(c[6]) for c in calls}
+    ours = {}
+    for r in rows:
+        if r.status != "orphan":
+            key = (r.conv_id, r.call_id, r.turn, r.pos, r.name)
+            ours[key + deps[key]] = (r.status, r.level, tuple(r.missing), r.n_results, r.copies)
+    assert ours == links
+    assert {(r.conv_id, r.call_id): r.n_results for r in rows if r.status == "orphan"} == orphans
+
+
+def test_an_identifier_like_a_turn_is_another(spark):
+    call = {"tool_calls": [{"id": "turn-0", "name": "reply", "arguments": {"prompt": "x", "words": 2}}]}
+    rows = [(1, 0, "user", "asked first"), (1, 1, "assistant", json.dumps(call)), (1, 2, "tool", '{"tool_call_id":"turn-0","content":"real"}')]
+    out = format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert sorted((r.turn, r.status, json.loads(r.json)["result"]) for r in out) == [(0, "unanswered", None), (1, "linked", "real")]
+
+
+def test_plan_and_jobs_do_not_grow_with_the_conversation(spark):
+    def jobs(n):
+        calls = [(1, f"d{i}", i, 0, "free", "{}", [f"d{i - 1}"] if i else []) for i in range(n)]
+        group = f"chat-{n}"
+        spark.sparkContext.setJobGroup(group, group)
+        levels = {r.call_id: r.level for r in run(spark, calls, [])}
+        assert levels == {f"d{i}": i for i in range(n)}
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    assert jobs(300) < 2 * jobs(20)
