@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salescope.llm.copies import counted, expanded
 
 class Bins:
     """Open bins by rising residual (oldest first among equals), with the
@@ -24,7 +25,7 @@ class Bins:
 
     def __init__(self, quota: int):
         self.quota = quota
-        self.n = 0
+        self.n = self.resume = 0
         room = 1024
         self.residual = np.zeros(room, dtype=np.int64)
         self.bin = np.zeros(room, dtype=np.int64)
@@ -37,9 +38,9 @@ class Bins:
         sources, clusters = self.held[b]
         return sources.get(source, 0) < self.quota and (cluster is None or cluster not in clusters)
 
-    def find(self, size: int, source: object, cluster: object, source_bit: np.uint64, cluster_bit: np.uint64) -> int:
-        """Place of the tightest compatible bin, or -1."""
-        at = int(np.searchsorted(self.residual[: self.n], size))
+    def find(self, size: int, source: object, cluster: object, source_bit: np.uint64, cluster_bit: np.uint64, start: int = 0) -> int:
+        """Place of the tightest compatible bin from place ``start`` on, or -1."""
+        at = max(start, int(np.searchsorted(self.residual[: self.n], size)))
         step = 32
         while at < self.n:
             to = min(self.n, at + step)
@@ -61,7 +62,8 @@ class Bins:
             a[j] = x
 
     def put(self, i: int, size: int, capacity: int, source: object, cluster: object, source_bit: np.uint64, cluster_bit: np.uint64) -> int:
-        """Put a piece into the bin at place ``i``, or into a new one; the bin."""
+        """Put a piece into the bin at place ``i``, or into a new one; the bin.
+        Afterwards no bin before ``self.resume`` takes another such piece."""
         if i < 0:
             if self.n == len(self.residual):
                 for name in ("residual", "bin", "full_sources", "clusters"):
@@ -86,7 +88,11 @@ class Bins:
             j += 1
         self.residual[i] = left
         self._move(i, j)
+        # whatever was passed over stays incompatible with such a piece, and
+        # so does the bin that has its cluster now
+        self.resume = i + 1 if cluster is not None else j
         if left == 0:  # a full bin takes nothing
+            self.resume = i if cluster is not None else j
             for a in (self.residual, self.bin, self.full_sources, self.clusters):
                 a[j : self.n - 1] = a[j + 1 : self.n].copy()
             self.n -= 1
@@ -100,10 +106,14 @@ def best_fit(sizes: list[int], sources: list, clusters: list, capacity: int, quo
     source_bits = {s: np.uint64(1) << np.uint64(k % 64) for k, s in enumerate(dict.fromkeys(sources))}
     cluster_bits = {c: np.uint64(1) << np.uint64(k % 64) for k, c in enumerate(dict.fromkeys(clusters))}
     cluster_bits[None] = np.uint64(0)
-    out = []
-    for size, source, cluster in zip(sizes, sources, clusters, strict=True):
+    out, last = [], None
+    for piece in zip(sizes, sources, clusters, strict=True):
+        size, source, cluster = piece
         bits = source_bits[source], cluster_bits[cluster]
-        out.append(bins.put(bins.find(size, source, cluster, *bits), size, capacity, source, cluster, *bits))
+        # a piece like the one before goes on where its search ended
+        at = bins.find(size, source, cluster, *bits, bins.resume if piece == last else 0)
+        out.append(bins.put(at, size, capacity, source, cluster, *bits))
+        last = piece
     return out
 
 
@@ -127,8 +137,10 @@ def pack(docs: DataFrame, capacity: int = 16_384, quota: int = 3, group_rows: in
         size.alias("bytes"),
         F.when(size > 0, F.xxhash64("text")).alias("cluster"),
     )
-    # hashed by document, so that sources and copies are spread over the groups
-    slim = slim.withColumn("grp", F.pmod(F.xxhash64("doc_id", "source", "cluster"), F.lit(groups)).cast("int"))
+    # hashed by document and copy, so that sources, copies and rows that repeat
+    # are spread over the groups; equal rows are numbered by their count
+    slim = expanded(counted(slim, "n"), "n", "copy")
+    slim = slim.withColumn("grp", F.pmod(F.xxhash64("doc_id", "source", "cluster", "copy"), F.lit(groups)).cast("int")).drop("copy")
     schema = slim.select("doc_id", "source").withColumns(
         {"piece": F.lit(0).cast("long"), "offset": F.lit(0).cast("long"), "size": F.lit(0).cast("long"), "bin": F.lit(""), "position": F.lit(0).cast("long")}
     ).schema

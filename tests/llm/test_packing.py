@@ -35,6 +35,29 @@ def test_best_fit_against_a_naive_search():
         assert best_fit(sizes, sources, clusters, 70, quota) == naive(sizes, sources, clusters, 70, quota)
 
 
+def test_runs_of_like_pieces_against_a_naive_search():
+    for seed in range(60):
+        draw = random.Random(seed)
+        pieces = []
+        for _ in range(draw.randrange(12)):
+            like = (draw.randrange(0, 40), draw.choice(["a", "b", None]), draw.choice([None, 1, 2, 3]))
+            pieces += [like] * draw.randrange(1, 12)
+        pieces.sort(key=lambda p: -p[0])
+        columns = [list(c) for c in zip(*pieces)] or [[], [], []]
+        quota = draw.randrange(1, 4)
+        assert best_fit(*columns, 70, quota) == naive(*columns, 70, quota)
+
+
+def test_rows_that_repeat_are_spread_over_the_groups(spark):
+    rows = [(1, "the same text", "s")] * 20_000 + [(None, None, None)] * 5_000 + [(i, f"text {i}", "s") for i in range(5_000)]
+    out = pack(spark.createDataFrame(rows, "doc_id long, text string, source string"), group_rows=2000).collect()
+    assert len(out) == len(rows)
+    groups = Counter(r.bin.split("-")[0] for r in out)
+    assert len(groups) == 15 and max(groups.values()) < 3000
+    copies = Counter(r.bin for r in out if r.doc_id == 1 and r["size"] == 13)
+    assert max(copies.values()) == 1
+
+
 def test_every_byte_is_packed_within_the_constraints(spark):
     draw = random.Random(2)
     rows = [(i, "é" * draw.randrange(120), draw.choice(["hot", "hot", "a", "b", None])) for i in range(400)]
