@@ -19,6 +19,7 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from salescope.llm.copies import counted, expanded
 from salescope.llm.store import materialise
 
 #: Bits of a position that one pass resolves, from the top.
@@ -83,8 +84,10 @@ def kd_shards(docs: DataFrame, target_bytes: int | None = None, shards: int | No
     near to equal bytes as whole groups of equal texts allow; a group beyond a
     leaf's share takes the leaf alone and the rest is balanced without it.
     ``slot`` numbers the rows of a shard from 0, without gaps, by hashed bucket
-    and doc_id.  Rows that repeat are rows of their own; an empty table gives an
-    empty result.
+    and doc_id; a bucket holds some ``bucket_rows`` different rows, and rows
+    that repeat are numbered by their count, so no row is too frequent for a
+    task.  Rows that repeat are rows of their own; an empty table gives an empty
+    result.
     """
     points = materialise(_points(docs), "points")
     first = points.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("w"), *[F.min(a).alias(f"lo_{a}") for a in _AXES], *[F.max(a).alias(f"hi_{a}") for a in _AXES]).first()
@@ -129,17 +132,14 @@ def kd_shards(docs: DataFrame, target_bytes: int | None = None, shards: int | No
             moved = F.when(past, _of(right, F.col("node")).cast("int")).otherwise(F.col("node"))
             points = materialise(placed.withColumn("node", moved).drop("place"), "points")
 
+    # equal rows are one row with their number until their slots are known
+    rows = counted(points.select("doc_id", "size", F.col("crc").alias("text_crc32"), F.col("node").alias("shard")), "n")
     buckets = max(1, -(-first["n"] // bucket_rows))
-    rows = points.select(
-        "doc_id",
-        "size",
-        F.col("crc").alias("text_crc32"),
-        F.col("node").alias("shard"),
-        F.pmod(F.xxhash64("doc_id", "crc", "size"), F.lit(buckets)).alias("bucket"),
-    )
-    counts = rows.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("c"))
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(buckets)))
+    counts = rows.groupBy("shard", "bucket").agg(F.sum("n").alias("c"))
     # one row per shard and bucket
     ahead = counts.select("shard", "bucket", (F.sum("c").over(Window.partitionBy("shard").orderBy("bucket")) - F.col("c")).alias("ahead"))
     order = Window.partitionBy("shard", "bucket").orderBy("doc_id", "text_crc32", "size")
-    slot = F.col("ahead") + F.row_number().over(order) - 1
-    return rows.join(ahead, ["shard", "bucket"]).select("doc_id", "size", "text_crc32", "shard", slot.cast("long").alias("slot"))
+    rows = rows.join(ahead, ["shard", "bucket"]).withColumn("start", F.col("ahead") + F.sum("n").over(order) - F.col("n"))
+    rows = expanded(rows.select("doc_id", "size", "text_crc32", "shard", "start", "n"), "n", "copy")
+    return rows.select("doc_id", "size", "text_crc32", "shard", (F.col("start") + F.col("copy")).alias("slot"))

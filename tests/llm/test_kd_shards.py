@@ -2,10 +2,11 @@ from __future__ import annotations
 
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 
+from salescope.llm.copies import counted, expanded
 from salescope.llm.kd_shards import kd_shards
 
 
@@ -59,6 +60,21 @@ def test_a_hot_text_takes_a_leaf_and_the_rest_is_balanced(spark):
     assert max(rest) < 2 * sum(rest) / len(rest)
 
 
+def test_a_third_of_equal_rows(spark):
+    rows = rows_of(600, 5) + [(7, "the same row")] * 200 + [(None, None)] * 100
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    out = kd_shards(df, shards=4, bucket_rows=40).collect()
+    check(rows, out, 4)
+    assert Counter(r.doc_id for r in out)[7] >= 200
+
+
+def test_copies_there_and_back(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (None, "a"), (1, None)] + [(2, "b")] * 20_000, "i long, t string")
+    back = expanded(counted(df, "n"), "n", "copy")
+    assert Counter((r.i, r.t) for r in back.collect()) == Counter((r.i, r.t) for r in df.collect())
+    assert sorted(r.copy for r in back.where("i = 2").collect()) == list(range(20_000))
+
+
 def test_edges(spark):
     rows = [(1, None), (1, None), (None, ""), (2, "x" * 300_000), (3, "a"), (3, "a")]
     df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, size int")
