@@ -70,51 +70,68 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return both.where("src <> dst and src <> '' and dst <> ''").groupBy("src", "dst").agg(F.sum("w").alias("w"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float, rounds: int, every: int = 4) -> DataFrame:
-    """``(kind, node, x)``: personalised PageRank of ``seeds`` (kind, node, s);
-    kind 0 follows the edges, kind 1 goes against them.  Normalised to the
-    seeds' mass."""
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float, tolerance: float, every: int = 4) -> DataFrame:
+    """``(kind, node, x)``: personalised PageRank of ``seeds`` (kind, node, s
+    and ``n``, the node's pages); kind 0 follows the edges, kind 1 goes against
+    them.  Normalised to the seeds' mass.
+
+    The rounds end when none of ``every`` rounds together has changed a host by
+    ``tolerance`` a page (a host without pages counts as one page): as a round
+    shrinks changes by ``damping``, what is left is of that size.
+    """
     along = edges.select(F.lit(0).alias("kind"), F.col("src").alias("node"), F.col("dst").alias("to"), "w")
     against = edges.select(F.lit(1).alias("kind"), F.col("dst").alias("node"), F.col("src").alias("to"), "w")
     steps = along.unionByName(against)
     leaving = steps.groupBy("kind", "node").agg(F.sum("w").alias("out"))
     steps = materialise(steps.join(leaving, ["kind", "node"]).select("kind", "node", "to", (F.col("w") / F.col("out")).alias("p")), "steps")
-    seeds = materialise(seeds.where("s > 0"), "seeds")
+    pages = seeds.select("kind", "node", "n")
+    seeds = materialise(seeds.where("s > 0").select("kind", "node", "s"), "seeds")
     x = seeds.withColumnRenamed("s", "x")
     start = seeds.select("kind", "node", (F.col("s") * (1 - damping)).alias("x"))
-    for i in range(rounds):
-        sent = steps.join(x, ["kind", "node"]).select("kind", F.col("to").alias("node"), (F.col("x") * F.col("p") * damping).alias("x"))
-        x = sent.unionByName(start).groupBy("kind", "node").agg(F.sum("x").alias("x"))
-        if (i + 1) % every == 0 or i + 1 == rounds:
-            x = materialise(x, "ranks")
+    while True:
+        before = x
+        for _ in range(every):
+            sent = steps.join(x, ["kind", "node"]).select("kind", F.col("to").alias("node"), (F.col("x") * F.col("p") * damping).alias("x"))
+            x = sent.unionByName(start).groupBy("kind", "node").agg(F.sum("x").alias("x"))
+        x = materialise(x, "ranks")
+        both = x.unionByName(before.select("kind", "node", (-F.col("x")).alias("x"))).groupBy("kind", "node").agg(F.abs(F.sum("x")).alias("change"))
+        change = F.max(F.col("change") / F.greatest(F.coalesce("n", F.lit(1)), F.lit(1)))
+        if (both.join(pages, ["kind", "node"], "left").agg(change).first()[0] or 0.0) < tolerance:
+            break
     scale = x.groupBy("kind").agg(F.sum("x").alias("got")).join(seeds.groupBy("kind").agg(F.sum("s").alias("put")), "kind")
     # two rows
     return x.join(F.broadcast(scale), "kind").select("kind", "node", (F.col("x") * F.col("put") / F.col("got")).alias("x"))
 
 
-def judge_urls(pages: DataFrame, rules: list[Rule], damping: float = 0.85, rounds: int = 12, threshold: float = 0.25) -> DataFrame:
+def judge_urls(pages: DataFrame, rules: list[Rule], damping: float = 0.85, tolerance: float = 1e-3, threshold: float = 0.25) -> DataFrame:
     """``pages`` (page_id, url, html) with host, path, rule and verdict of every
     row, without the HTML.
 
     A rule fits its host and all subdomains if the path starts with the rule's;
     the longest wins and gives the verdict.  Else the host is blocked if
     ``distrust - trust >= threshold * pages`` of its propagated seeds (rounded
-    to six places).  A url without a host has no evidence and is allowed.  A
-    null html has no links.  The new columns replace columns of their names.
+    to six places), which are iterated until they are settled to ``tolerance`` a
+    page.  A url without a host has no evidence and is allowed.  A null html has
+    no links.  Rows that repeat are rows of their own; an empty table gives an
+    empty result.  The new columns replace columns of their names; other
+    columns are handed on.
     """
     host, path = split_url(F.col("url"))
-    plain = pages.drop("host", "path", "rule", "verdict", "by_rule").withColumns({"host": host, "path": path})
+    rest = [c for c in pages.columns if c not in ("html", "host", "path", "rule", "verdict")]
+    # the rows' own columns wait in a struct: no name of theirs is in the way
+    plain = pages.select(F.struct(*rest).alias("row"), "html", host.alias("host"), path.alias("path"))
     name, verdict = _by_rule(rules, F.col("host"), F.col("path"))
     ruled = plain.withColumns({"rule": name, "by_rule": verdict})
     # one scan of the HTML; the graph and its seeds are far smaller
     edges = materialise(host_edges(ruled.select("host", "html")), "edges")
     allowed, blocked = (F.sum(F.when(F.col("by_rule") == v, 1).otherwise(0)) for v in ("allow", "block"))
     hosts = materialise(ruled.where("host <> ''").groupBy("host").agg(F.count(F.lit(1)).alias("n"), allowed.alias("good"), blocked.alias("bad")), "hosts")
-    seeds = hosts.select(F.lit(0).alias("kind"), F.col("host").alias("node"), F.col("good").cast("double").alias("s"))
-    seeds = seeds.unionByName(hosts.select(F.lit(1).alias("kind"), F.col("host").alias("node"), F.col("bad").cast("double").alias("s")))
-    ranks = propagate(edges, seeds, damping, rounds).groupBy("node").agg(F.sum(F.when(F.col("kind") == 1, F.col("x")).otherwise(-F.col("x"))).alias("net"))
+    seeds = hosts.select(F.lit(0).alias("kind"), F.col("host").alias("node"), F.col("good").cast("double").alias("s"), "n")
+    seeds = seeds.unionByName(hosts.select(F.lit(1).alias("kind"), F.col("host").alias("node"), F.col("bad").cast("double").alias("s"), "n"))
+    ranks = propagate(edges, seeds, damping, tolerance).groupBy("node").agg(F.sum(F.when(F.col("kind") == 1, F.col("x")).otherwise(-F.col("x"))).alias("net"))
     of_host = hosts.join(ranks, hosts["host"] == ranks["node"], "left").select(
         "host", (F.round(F.coalesce("net", F.lit(0.0)) / F.col("n"), 6) >= threshold).alias("distrusted")
     )
     found = F.when(F.coalesce("distrusted", F.lit(False)), F.lit("block")).otherwise(F.lit("allow"))
-    return ruled.drop("html").join(of_host, "host", "left").withColumn("verdict", F.coalesce("by_rule", found)).drop("by_rule", "distrusted")
+    judged = ruled.drop("html").join(of_host, "host", "left")
+    return judged.select("row.*", "host", "path", "rule", F.coalesce("by_rule", found).alias("verdict"))
