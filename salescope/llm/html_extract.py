@@ -46,6 +46,12 @@ _BAD_NAME = re.compile(
     re.I,
 )
 _GOOD_NAME = re.compile(r"(?:^|[\s_-])(?:article|post|entry|content|main|story|body|text|page)(?=$|[\s_-])", re.I)
+#: Reader comments; heads (an article's own head is part of it); containers that
+#: are named after what lies beside their text; the seams of joined words.
+_COMMENT_NAME = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|replies|reply)(?=$|[\s_-])", re.I)
+_HEAD_NAME = re.compile(r"(?:^|(?<=[\s_-]))(?:header|masthead)(?=$|[\s_-])", re.I)
+_LAYOUT = re.compile(r"(?:^|(?<=[\s_-]))(?:has|with|without|no)[_-](?:[a-z]+[_-])?(?:sidebar|aside|widgets?|menu|nav|header|footer|comments?|ads?|banner)(?=$|[\s_-])", re.I)
+_HUMP = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
@@ -72,8 +78,10 @@ def _attributes(source: str) -> dict[str, str]:
     return found
 
 
-def _is_noise(tag: str, source: str, stack: list[_Node]) -> tuple[str, bool]:
-    """The element's class and id, and whether it is left out."""
+def _is_noise(tag: str, source: str, stack: list[_Node], strict: bool) -> tuple[str, bool]:
+    """The element's class and id, and whether it is left out.  A word that
+    names what is not the article wins over one that names the article, unless
+    ``strict`` is off."""
     inside = any(n.tag in ("article", "main") for n in stack)
     if tag in _DROPPED or tag == "header" and not inside:
         return "", True
@@ -81,14 +89,20 @@ def _is_noise(tag: str, source: str, stack: list[_Node]) -> tuple[str, bool]:
         return "", False
     found = _attributes(source)
     name = f"{found.get('class', '')} {found.get('id', '')}".strip()
-    if tag in ("html", "body", "article", "main"):
+    if tag in ("html", "body", "main"):
         return name, False
+    said = _LAYOUT.sub(" ", _HUMP.sub("-", name))
+    if tag == "article":
+        return name, bool(_COMMENT_NAME.search(said))
     if "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I):
         return name, True
-    return name, found.get("role", "").lower() in _ROLES or bool(name and _BAD_NAME.search(name) and not _GOOD_NAME.search(name))
+    if inside:
+        said = _HEAD_NAME.sub(" ", said)
+    bad = bool(_BAD_NAME.search(said)) and (strict or not _GOOD_NAME.search(said))
+    return name, found.get("role", "").lower() in _ROLES or bad
 
 
-def parse(source: str) -> _Node:
+def parse(source: str, strict: bool = True) -> _Node:
     """The page's tree; text children are strings.  Unclosed and stray tags
     are accepted as browsers do in the common cases."""
     root = _Node("#root", None)
@@ -127,7 +141,7 @@ def parse(source: str) -> _Node:
             close(("p",), frozenset(("td", "th", "button", "body", "article", "section", "div", "main")))
         if tag in _SELF_CLOSING:
             close(_SELF_CLOSING[tag], frozenset(("ul", "ol", "dl", "table", "select")))
-        name, noise = _is_noise(tag, attributes, stack)
+        name, noise = _is_noise(tag, attributes, stack, strict)
         node = _Node(tag, stack[-1], name, noise or stack[-1].dropped)
         if not node.dropped:
             stack[-1].children.append(node)
@@ -240,6 +254,15 @@ def best_container(root: _Node) -> list[_Node]:
     best = max(reversed(scored), key=lambda n: n.points)
     if best.tag in ("p", "pre", "blockquote", "li", "td") and best.parent is not None:
         best = best.parent
+    # what is no noise in an article is part of it, however short
+    for wanted in ("article", "main"):
+        above, top = best, None
+        while above is not None and top is None:
+            top, above = (above if above.tag == wanted else None), above.parent
+        if top is not None:
+            top.points = max(top.points, best.points)
+            best = top
+            break
     if best.parent is None:
         return [best]
     least = max(10.0, 0.2 * best.points)
@@ -255,8 +278,11 @@ def best_container(root: _Node) -> list[_Node]:
 
 
 def extract(source: str) -> str:
-    """Main text of one page."""
-    return " ".join(blocks(best_container(parse(source)))) if source else ""
+    """Main text of one page.  If the names of its elements leave nothing, those
+    that also name the article count as article."""
+    if not source:
+        return ""
+    return " ".join(blocks(best_container(parse(source)))) or " ".join(blocks(best_container(parse(source, False))))
 
 
 def main_text(pages: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pytest
+
 from salescope.llm.html_extract import extract, main_text
 
 BODY = "".join(f"<p>Paragraph number {i}, with some commas, and enough words to count as article text here.</p>" for i in range(4))
@@ -28,6 +30,36 @@ def test_div_layout_without_semantic_elements():
     assert extract(page) == f"Head {WANT} One item Two"
 
 
+NOISE = (
+    "post-comments article-comments entry-comments comment-body comments-content page-sidebar sidebar-content main-menu page-footer cookie-text "
+    "content-ad post-share postComments story_comments articleSidebar"
+).split()
+
+
+@pytest.mark.parametrize("name", NOISE)
+def test_what_is_named_noise_is_noise(name):
+    noise = "<p>Something else, that is quite long, with commas, and more words, than any paragraph has here.</p>" * 6
+    assert extract(f"<article><h1>Title</h1>{BODY}<div class='{name}'>{noise}</div></article>") == f"Title {WANT}"
+    assert extract(f"<article><h1>Title</h1>{BODY}<section id='{name}'>{noise}</section></article>") == f"Title {WANT}"
+    assert extract(f"<body><div class='wrap'><div class='{name}'>{noise}</div><div class='content'>{BODY}</div></div></body>") == WANT
+
+
+def test_names_that_say_what_lies_beside():
+    assert extract(f"<body><div class='content with-sidebar'>{BODY}</div></body>") == WANT
+    assert extract(f"<body class='has-left-sidebar'><div id='page' class='no-comments'>{BODY}</div></body>") == WANT
+    assert extract(f"<article><div class='entry-header'><h1>Title</h1></div>{BODY}</article>") == f"Title {WANT}"
+    assert extract(f"<body><div class='post-notice'>{BODY}</div></body>") == WANT  # nothing else is there
+
+
+def test_the_whole_article_is_kept():
+    lead = "<h1>Title</h1><p>A short lead.</p>"
+    assert extract(f"<body><article>{lead}<div class='body'>{BODY * 8}</div><p>End.</p></article></body>") == f"Title A short lead. {' '.join([WANT] * 8)} End."
+    short = "<section><h2>Two</h2><p>Short.</p></section><section><p>Three.</p></section>"
+    assert extract(f"<body><main><section>{BODY * 6}</section>{short}</main></body>") == f"{' '.join([WANT] * 6)} Two Short. Three."
+    comment = "<section id='comments'><article class='comment'><p>I say, this is long, with commas, and with words.</p></article></section>"
+    assert extract(f"<main><article>{lead}{BODY}</article>{comment}</main>") == f"Title A short lead. {WANT}"
+
+
 def test_links_discount_a_container():
     links = "".join(f"<li><a href='/{i}'>A linked headline, with a comma, number {i}, that is quite long indeed</a></li>" for i in range(30))
     assert extract(f"<body><div><ul>{links}</ul></div><div>{BODY}</div></body>") == WANT
