@@ -75,7 +75,7 @@ def accounts_by_holding(model: CrmModel) -> DataFrame:
 
 def deals_by_stage(model: CrmModel) -> DataFrame:
     """``(deal_stage, deals_count)``: the pipeline funnel."""
-    return frequency(model.sales(["deal_stage"]), "deal_stage", "deals_count")
+    return model.measures(["deal_stage"], ("deals",)).withColumnRenamed("deals", "deals_count")
 
 
 def date_bounds(model: CrmModel) -> DataFrame:

@@ -32,7 +32,7 @@ def orphans(rows: DataFrame, dim: DataFrame, key: str, dim_key: str | None = Non
 def orphan_products(model: CrmModel) -> DataFrame:
     """Distinct products of the fact that the products table does not know."""
     d = model.dim("products")
-    return orphans(model.fact().select(d.key).distinct(), d.frame, d.key)
+    return orphans(model.fact_keys(d.key), d.frame, d.key)
 
 
 def repair_values(
@@ -98,7 +98,7 @@ def without_won_deals(model: CrmModel, name: str) -> DataFrame:
     """Keys of a dimension that no won deal refers to (the orphan check of the
     dimension against the fact)."""
     d = model.dim(name)
-    parents = model.fact((WON,)).select(d.key).distinct()
+    parents = model.fact_keys(d.key, (WON,))
     return orphans(d.frame.select(d.key).distinct(), parents, d.key).select(F.col(d.key).cast("string").alias("key_value"))
 
 
@@ -135,24 +135,12 @@ def fk_violations(model: CrmModel, dims: Sequence[str] = ("teams", "products", "
     also be unique; see :func:`duplicate_keys`.
     """
     ds = [model.dim(name) for name in dims]
-    keys = [d.key for d in ds]
     labels = [f"sales.{d.key} -> {d.name}.{d.key}" for d in ds]
-    n = len(keys)
-    counts = (
-        model.fact()
-        .select(*keys)
-        .groupingSets([[k] for k in keys], *keys)
-        .agg(F.count(F.lit(1)).alias("n_rows"), F.grouping_id(*keys).alias("__gid"))
-    )
-    relationship = None
-    for i, label in enumerate(labels):
-        cond = F.col("__gid") == (1 << n) - 1 - (1 << (n - 1 - i))
-        relationship = F.when(cond, F.lit(label)) if relationship is None else relationship.when(cond, F.lit(label))
-    children = counts.select(
-        relationship.alias("relationship"),
-        F.coalesce(*[F.col(k).cast("string") for k in keys]).alias("key_value"),
-        "n_rows",
-    ).where(F.col("key_value").isNotNull())
+    counts, _ = model.by_key([d.key for d in ds], ("deals",))
+    relationship = F.lit(None).cast("string")
+    for d, label in zip(ds, labels, strict=True):
+        relationship = F.when(F.col("key_name") == d.key, F.lit(label)).otherwise(relationship)
+    children = counts.select(relationship.alias("relationship"), "key_value", F.col("deals").alias("n_rows")).where("key_value is not null")
     parents = None
     for d, label in zip(ds, labels, strict=True):
         part = d.frame.select(F.lit(label).alias("relationship"), F.col(d.key).cast("string").alias("key_value"))
@@ -180,10 +168,10 @@ def _deal_nulls(model: CrmModel, columns: Sequence[str]) -> DataFrame:
     no dimension is joined to the deals.  Keys must be unique."""
     own = [c for c in columns if c in model.fact().columns]
     labels = [c for c in columns if c not in own]
-    nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in own]
     if not labels:
+        nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in own]
         return model.fact().agg(F.count(F.lit(1)).alias("n_rows"), *nulls)
-    counts, sources = model.by_key(labels, ("deals",), extra=nulls)
+    counts, sources = model.by_key(labels, ("deals",), nulls=own)
     lacking, everything = None, F.array().cast("array<string>")
     for key, (d, names) in sources.items():
         everything = F.when(F.col("key_name") == key, F.array(*[F.lit(c) for c in names])).otherwise(everything)
@@ -268,12 +256,16 @@ def distinct_counts(model: CrmModel) -> DataFrame:
     """``(table_name, column_name, n_distinct)``: exact numbers of distinct
     non-NULL values in the four tables.
 
-    The deals are grouped by every column in one scan.  Values of the fact's
-    own columns are then counted as they are; the distinct keys lead to the
-    labels of their dimensions, of which equal ones count once.
+    The deals are grouped by every column in one scan.  The fact's own integers
+    and dates are grouped as bitmaps of 64 neighbouring values, so that a
+    column of dense identifiers shuffles one row for 64 deals and not one for
+    each; the bits are then counted.  The distinct keys lead to the labels of
+    their dimensions, of which equal ones count once.
     """
     one = F.lit(1).alias("n")
-    values, sources = model.by_key(FACT_COLUMNS)
+    values, sources = model.by_key(FACT_COLUMNS, words=True)
+    if "n_values" not in values.columns:
+        values = values.withColumn("n_values", F.lit(1))
     own = [k for k, (_, names) in sources.items() if names == [k]]
     labels = None
     for key, (d, names) in sources.items():
@@ -288,14 +280,14 @@ def distinct_counts(model: CrmModel) -> DataFrame:
         labels = part if labels is None else labels.unionByName(part)
     found = values.where(F.col("key_value").isNotNull())
     if labels is None:
-        found = found.select(F.col("key_name").alias("column_name"), one)
+        found = found.select(F.col("key_name").alias("column_name"), F.col("n_values").alias("n"))
     else:
         itself = F.array(F.struct(F.col("key_name").alias("column_name"), F.lit(None).cast("string").alias("label")))
         found = (
             found.join(labels, ["key_name", "key_value"], "left")
-            .select(F.inline(F.when(F.col("key_name").isin(own), itself).otherwise(F.col("entries"))))
+            .select("n_values", F.inline(F.when(F.col("key_name").isin(own), itself).otherwise(F.col("entries"))))
             .groupBy("column_name", "label")
-            .agg(F.count(F.lit(1)).alias("n"))
+            .agg(F.sum("n_values").alias("n"))
             .select("column_name", F.when(F.col("label").isNull(), F.col("n")).otherwise(F.lit(1)).alias("n"))
         )
     out = _distinct_rows(found, FACT_COLUMNS, "sales")

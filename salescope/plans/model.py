@@ -99,15 +99,37 @@ _MEASURES: dict[str, tuple[Callable[[], Column], Callable[[str], Column]]] = {
 MEASURES = tuple(_MEASURES)
 
 
-def by_single_key(df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column] = ()) -> DataFrame:
+_WORD = ("tinyint", "smallint", "int", "bigint", "date")
+
+
+def by_single_key(df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column] = (), words: Sequence[str] = ()) -> DataFrame:
     """``(key_name, key_value, aggregates...)``: ``df`` grouped by each of
-    ``keys`` alone, in one scan (GROUPING SETS)."""
-    grouped = df.groupingSets([[k] for k in keys], *keys).agg(*aggregates, F.grouping_id(*keys).alias("__gid"))
-    name = F.lit(None).cast("string")
+    ``keys`` alone, in one scan (GROUPING SETS).
+
+    Those of ``words`` that are integers or dates are grouped by words of 64
+    neighbouring values, as a bitmap of the values that occur: ``key_value`` is
+    then the number of the word, and a further column ``n_values`` says how
+    many values a row stands for (1 elsewhere).  However thin the values lie,
+    there are never more rows than values.
+    """
+    kinds = dict(df.dtypes)
+    words = [k for k in words if k in keys and kinds[k] in _WORD]
+    for k in words:
+        number = F.datediff(F.col(k), F.lit("1970-01-01").cast("date")) if kinds[k] == "date" else F.col(k)
+        bit = F.expr(f"shiftleft(1L, cast(__number_{k} & 63 as int))")
+        df = df.withColumn(f"__number_{k}", number.cast("bigint"))
+        df = df.withColumns({f"__bit_{k}": bit, k: F.shiftright(f"__number_{k}", 6)}).drop(f"__number_{k}")
+    bits = [F.bit_or(f"__bit_{k}").alias(f"__bits_{k}") for k in words]
+    grouped = df.groupingSets([[k] for k in keys], *keys).agg(*aggregates, *bits, F.grouping_id(*keys).alias("__gid"))
+    name, many = F.lit(None).cast("string"), F.lit(1)
     for i, k in enumerate(keys):
-        name = F.when(F.col("__gid") == (1 << len(keys)) - 1 - (1 << (len(keys) - 1 - i)), F.lit(k)).otherwise(name)
+        here = F.col("__gid") == (1 << len(keys)) - 1 - (1 << (len(keys) - 1 - i))
+        name = F.when(here, F.lit(k)).otherwise(name)
+        if k in words:
+            many = F.when(here, F.bit_count(f"__bits_{k}")).otherwise(many)
     value = F.coalesce(*[F.col(k).cast("string") for k in keys])
-    return grouped.withColumns({"key_name": name, "key_value": value}).drop("__gid", *keys)
+    out = grouped.withColumns({"key_name": name, "key_value": value, **({"n_values": many} if words else {})})
+    return out.drop("__gid", *keys, *[f"__bits_{k}" for k in words])
 
 
 @dataclass(frozen=True, eq=False)
@@ -122,6 +144,9 @@ class CrmModel:
 
     fact_builder: Callable[[tuple[str, ...] | None], DataFrame]
     dims: tuple[Dimension, ...]
+    #: Sums by single key and stage that stand in for the deals where they can
+    #: (see :mod:`salescope.plans.summary`).
+    summary: DataFrame | None = None
 
     # -- tables -------------------------------------------------------------
     def fact(self, stages: Sequence[str] | None = None) -> DataFrame:
@@ -208,16 +233,36 @@ class CrmModel:
         return d.frame.select(d.key, *[c for c in columns if c != d.key])
 
     # -- sums by single keys --------------------------------------------------
+    def _summed(self, names: Sequence[str], stages: Sequence[str] | None) -> DataFrame | None:
+        """The summary's rows for a grouping by ``names``; None if it has none
+        (a key of its own, the stage, or both)."""
+        if self.summary is None or not names:
+            return None
+        keys = [n for n in names if n != "deal_stage"] or [self.dims[0].key]
+        if len(keys) > 1 or keys[0] not in [d.key for d in self.dims]:
+            return None
+        rows = self.summary.where(F.col("key_name") == keys[0])
+        return rows if stages is None else rows.where(F.col("deal_stage").isin(list(stages)))
+
+    def fact_keys(self, key: str, stages: Sequence[str] | None = None) -> DataFrame:
+        """The distinct values of one key of the deals."""
+        rows = self._summed([key], stages)
+        return (self.fact(stages) if rows is None else rows).select(key).distinct()
+
     def by_key(
         self,
         columns: Sequence[str],
         which: Sequence[str] = (),
         stages: Sequence[str] | None = None,
-        extra: Sequence[Column] = (),
+        nulls: Sequence[str] = (),
+        words: bool = False,
     ) -> tuple[DataFrame, dict[str, tuple[Dimension | None, list[str]]]]:
         """The deals summed by each key that ``columns`` hang on, in one scan
         (GROUPING SETS): ``(key_name, key_value, measures...)``, and per key its
-        dimension (None: the fact itself) and the columns it leads to."""
+        dimension (None: the fact itself) and the columns it leads to.
+        ``nulls``: fact columns whose NULLs are counted as ``null_<column>``.
+        ``words``: columns that lead to nothing but themselves are grouped as
+        bitmaps (see :func:`by_single_key`)."""
         fact = self.fact(stages)
         sources: dict[str, tuple[Dimension | None, list[str]]] = {}
         own = set(fact.columns)
@@ -227,7 +272,34 @@ class CrmModel:
         for d in self.dims:  # a key asked for by name may lead to labels too
             if d.key in sources and sources[d.key][0] is None:
                 sources[d.key] = (d, sources[d.key][1])
-        return by_single_key(fact, list(sources), [*[_MEASURES[m][0]().alias(m) for m in which], *extra]), sources
+        flat = [k for k, (_, names) in sources.items() if names == [k]] if words else []
+        stored = None if flat else [self._summed([k], stages) for k in sources]
+        if stored and all(rows is not None for rows in stored):
+            value = F.coalesce(*[F.col(k).cast("string") for k in sources]).alias("key_value")
+            sums = [*[_MEASURES[m][1](m).alias(m) for m in which], *[F.sum(f"null_{c}").alias(f"null_{c}") for c in nulls]]
+            rows = self.summary.where(F.col("key_name").isin(list(sources)))
+            rows = rows if stages is None else rows.where(F.col("deal_stage").isin(list(stages)))
+            return rows.groupBy("key_name", value).agg(F.lit(None).alias("__none"), *sums).drop("__none"), sources
+        counted = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in nulls]
+        return by_single_key(fact, list(sources), [*[_MEASURES[m][0]().alias(m) for m in which], *counted], flat), sources
+
+    def summary_rows(self) -> DataFrame:
+        """Every measure and the NULL counts of the fact's columns by each
+        dimension's key and the stage: ``(key_name, keys..., deal_stage,
+        measures..., null_<column>...)``, one row per key and stage, in one
+        scan of the deals; all but the row's own key are NULL."""
+        if self.summary is not None:
+            return self.summary
+        fact, keys = self.fact(), list(dict.fromkeys(d.key for d in self.dims))
+        sums = [_MEASURES[m][0]().alias(m) for m in MEASURES]
+        sums += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in fact.columns]
+        sets = [[k, "deal_stage"] for k in keys]
+        grouped = fact.groupingSets(sets, *keys, "deal_stage").agg(*sums, F.grouping_id(*keys, "deal_stage").alias("__gid"))
+        name = F.lit(None).cast("string")
+        for i, k in enumerate(keys):
+            gid = sum(1 << (len(keys) - j) for j in range(len(keys)) if j != i)
+            name = F.when(F.col("__gid") == gid, F.lit(k)).otherwise(name)
+        return grouped.withColumn("key_name", name).drop("__gid")
 
     # -- two-level aggregation ----------------------------------------------
     def measures(
@@ -272,7 +344,11 @@ class CrmModel:
                 first_keys.append(F.col(d.key))
                 first_names.append(d.key)
 
-        partial = fact.groupBy(*first_keys).agg(*[_MEASURES[m][0]().alias(m) for m in which])
+        stored = None if any(c in derived for c in by) else self._summed(first_names, stages)
+        if stored is not None:
+            partial = stored.groupBy(*first_names).agg(*[_MEASURES[m][1](m).alias(m) for m in which])
+        else:
+            partial = fact.groupBy(*first_keys).agg(*[_MEASURES[m][0]().alias(m) for m in which])
         if not dims:
             return partial.select(*by, *which)
         joined = partial

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from salescope.operators import cumulative, explore, performance, quality, rank, report, segment, share
 from salescope.plans.model import CrmModel
 from salescope.plans.session import session_key
+from salescope.plans.summary import key_summary
 from salescope.sources.star import FOCAL_AGENT, HOME_COUNTRY, from_star
 
 # Parameter of the threshold analysis on the mapping (see FIXTURES.md).
@@ -55,6 +56,7 @@ def _catalog(p: Params) -> dict[str, Callable[[CrmModel], DataFrame]]:
         "column_catalog": quality.column_catalog,
         "distinct_counts": quality.distinct_counts,
         "string_columns": lambda m: quality.column_catalog(m, data_type="string"),
+        "key_summary": key_summary,
         # exploration
         "product_numbering": explore.product_numbering,
         "team_size": explore.team_size,
