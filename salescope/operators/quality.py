@@ -263,9 +263,7 @@ def distinct_counts(model: CrmModel) -> DataFrame:
     their dimensions, of which equal ones count once.
     """
     one = F.lit(1).alias("n")
-    values, sources = model.by_key(FACT_COLUMNS, words=True)
-    if "n_values" not in values.columns:
-        values = values.withColumn("n_values", F.lit(1))
+    values, sources = model.distinct_by_key(FACT_COLUMNS)
     own = [k for k, (_, names) in sources.items() if names == [k]]
     labels = None
     for key, (d, names) in sources.items():

@@ -99,37 +99,46 @@ _MEASURES: dict[str, tuple[Callable[[], Column], Callable[[str], Column]]] = {
 MEASURES = tuple(_MEASURES)
 
 
-_WORD = ("tinyint", "smallint", "int", "bigint", "date")
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
 
 
-def by_single_key(df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column] = (), words: Sequence[str] = ()) -> DataFrame:
+def by_single_key(df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column] = ()) -> DataFrame:
     """``(key_name, key_value, aggregates...)``: ``df`` grouped by each of
-    ``keys`` alone, in one scan (GROUPING SETS).
+    ``keys`` alone, in one scan (GROUPING SETS)."""
+    grouped = df.groupingSets([[k] for k in keys], *keys).agg(*aggregates, F.grouping_id(*keys).alias("__gid"))
+    name = F.lit(None).cast("string")
+    for i, k in enumerate(keys):
+        name = F.when(F.col("__gid") == (1 << len(keys)) - 1 - (1 << (len(keys) - 1 - i)), F.lit(k)).otherwise(name)
+    value = F.coalesce(*[F.col(k).cast("string") for k in keys])
+    return grouped.withColumns({"key_name": name, "key_value": value}).drop("__gid", *keys)
+
+
+def distinct_values(df: DataFrame, columns: Sequence[str], words: Sequence[str] = ()) -> DataFrame:
+    """``(key_name, key_value, n_values)``: the distinct non-NULL values of each
+    of ``columns``, in one scan.
 
     Those of ``words`` that are integers or dates are grouped by words of 64
     neighbouring values, as a bitmap of the values that occur: ``key_value`` is
-    then the number of the word, and a further column ``n_values`` says how
-    many values a row stands for (1 elsewhere).  However thin the values lie,
-    there are never more rows than values.
+    then the number of the word and ``n_values`` the number of its values (1
+    elsewhere).  However thin the values lie, there are never more rows than
+    values.  A row becomes one narrow row per column, combined in its task.
     """
-    kinds = dict(df.dtypes)
-    words = [k for k in words if k in keys and kinds[k] in _WORD]
-    for k in words:
-        number = F.datediff(F.col(k), F.lit("1970-01-01").cast("date")) if kinds[k] == "date" else F.col(k)
-        bit = F.expr(f"shiftleft(1L, cast(__number_{k} & 63 as int))")
-        df = df.withColumn(f"__number_{k}", number.cast("bigint"))
-        df = df.withColumns({f"__bit_{k}": bit, k: F.shiftright(f"__number_{k}", 6)}).drop(f"__number_{k}")
-    bits = [F.bit_or(f"__bit_{k}").alias(f"__bits_{k}") for k in words]
-    grouped = df.groupingSets([[k] for k in keys], *keys).agg(*aggregates, *bits, F.grouping_id(*keys).alias("__gid"))
-    name, many = F.lit(None).cast("string"), F.lit(1)
-    for i, k in enumerate(keys):
-        here = F.col("__gid") == (1 << len(keys)) - 1 - (1 << (len(keys) - 1 - i))
-        name = F.when(here, F.lit(k)).otherwise(name)
-        if k in words:
-            many = F.when(here, F.bit_count(f"__bits_{k}")).otherwise(many)
-    value = F.coalesce(*[F.col(k).cast("string") for k in keys])
-    out = grouped.withColumns({"key_name": name, "key_value": value, **({"n_values": many} if words else {})})
-    return out.drop("__gid", *keys, *[f"__bits_{k}" for k in words])
+    kinds, entries = dict(df.dtypes), []
+    text, one = F.lit(None).cast("string"), F.lit(1).cast("bigint")
+    for i, c in enumerate(columns):
+        number = F.datediff(F.col(c), F.lit("1970-01-01").cast("date")) if kinds[c] == "date" else F.col(c)
+        number = number.cast("bigint")
+        if c in words and kinds[c] in (*_WHOLE, "date"):
+            entry = (F.shiftright(number, 6), text, F.call_function("shiftleft", one, number.bitwiseAND(63).cast("int")))
+        elif kinds[c] in _WHOLE:
+            entry = (number, text, one)
+        else:
+            entry = (F.lit(None).cast("bigint"), F.col(c).cast("string"), one)
+        entries.append(F.struct(F.lit(i).alias("at"), *[e.alias(n) for e, n in zip(entry, ("num", "txt", "bit"), strict=True)]))
+    rows = df.select(F.inline(F.array(*entries))).where("num is not null or txt is not null")
+    found = rows.groupBy("at", "num", "txt").agg(F.bit_count(F.bit_or("bit")).alias("n_values"))
+    name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("at") + 1)
+    return found.select(name.alias("key_name"), F.coalesce(F.col("num").cast("string"), "txt").alias("key_value"), "n_values")
 
 
 @dataclass(frozen=True, eq=False)
@@ -255,33 +264,40 @@ class CrmModel:
         which: Sequence[str] = (),
         stages: Sequence[str] | None = None,
         nulls: Sequence[str] = (),
-        words: bool = False,
     ) -> tuple[DataFrame, dict[str, tuple[Dimension | None, list[str]]]]:
         """The deals summed by each key that ``columns`` hang on, in one scan
         (GROUPING SETS): ``(key_name, key_value, measures...)``, and per key its
         dimension (None: the fact itself) and the columns it leads to.
-        ``nulls``: fact columns whose NULLs are counted as ``null_<column>``.
-        ``words``: columns that lead to nothing but themselves are grouped as
-        bitmaps (see :func:`by_single_key`)."""
+        ``nulls``: fact columns whose NULLs are counted as ``null_<column>``."""
         fact = self.fact(stages)
+        sources = self._sources(columns)
+        stored = [self._summed([k], stages) for k in sources]
+        if all(rows is not None for rows in stored):
+            value = F.coalesce(*[F.col(k).cast("string") for k in sources]).alias("key_value")
+            sums = [*[_MEASURES[m][1](m).alias(m) for m in which], *[F.sum(f"null_{c}").alias(f"null_{c}") for c in nulls]]
+            rows = self.summary.where(F.col("key_name").isin(list(sources)))
+            rows = rows if stages is None else rows.where(F.col("deal_stage").isin(list(stages)))
+            return rows.groupBy("key_name", value).agg(F.lit(None).alias("__none"), *sums).drop("__none"), sources
+        counted = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in nulls]
+        return by_single_key(fact, list(sources), [*[_MEASURES[m][0]().alias(m) for m in which], *counted]), sources
+
+    def _sources(self, columns: Sequence[str]) -> dict[str, tuple[Dimension | None, list[str]]]:
+        """The keys that ``columns`` hang on, with their dimensions."""
         sources: dict[str, tuple[Dimension | None, list[str]]] = {}
-        own = set(fact.columns)
+        own = set(self.fact().columns)
         for c in columns:
             d = self._supplier_of(c, own)
             sources.setdefault(c if d is None else d.key, (d, []))[1].append(c)
         for d in self.dims:  # a key asked for by name may lead to labels too
             if d.key in sources and sources[d.key][0] is None:
                 sources[d.key] = (d, sources[d.key][1])
-        flat = [k for k, (_, names) in sources.items() if names == [k]] if words else []
-        stored = None if flat else [self._summed([k], stages) for k in sources]
-        if stored and all(rows is not None for rows in stored):
-            value = F.coalesce(*[F.col(k).cast("string") for k in sources]).alias("key_value")
-            sums = [*[_MEASURES[m][1](m).alias(m) for m in which], *[F.sum(f"null_{c}").alias(f"null_{c}") for c in nulls]]
-            rows = self.summary.where(F.col("key_name").isin(list(sources)))
-            rows = rows if stages is None else rows.where(F.col("deal_stage").isin(list(stages)))
-            return rows.groupBy("key_name", value).agg(F.lit(None).alias("__none"), *sums).drop("__none"), sources
-        counted = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in nulls]
-        return by_single_key(fact, list(sources), [*[_MEASURES[m][0]().alias(m) for m in which], *counted], flat), sources
+        return sources
+
+    def distinct_by_key(self, columns: Sequence[str]) -> tuple[DataFrame, dict[str, tuple[Dimension | None, list[str]]]]:
+        """:func:`distinct_values` of the keys that ``columns`` hang on, in one
+        scan; keys that lead to nothing but themselves as bitmaps."""
+        sources = self._sources(columns)
+        return distinct_values(self.fact(), list(sources), [k for k, (_, names) in sources.items() if names == [k]]), sources
 
     def summary_rows(self) -> DataFrame:
         """Every measure and the NULL counts of the fact's columns by each

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from salescope.operators import quality
-from salescope.plans.model import FACT_COLUMNS, by_single_key
+from salescope.plans.model import FACT_COLUMNS, distinct_values
 from salescope.plans.summary import key_summary, with_key_summary, write_key_summary
 from salescope.registry import STAR_PARAMS, analyses, analysis_names
 from salescope.sources.star import from_star
@@ -64,14 +64,14 @@ def test_bitmaps_count_exactly(spark):
     data = [(i * 3 - 500, i % 7, None if i % 5 else i, "x" if i % 2 else None) for i in range(1000)]
     data += [(-(2**63), 1, 2**63 - 1, "x"), (2**63 - 1, 1, -1, "y"), (-1, 1, -64, "y"), (None, None, None, None)] * 2
     df = spark.createDataFrame(data, "a long, b long, c long, d string").withColumn("e", F.date_add(F.lit("1969-12-01").cast("date"), F.coalesce("b", F.lit(400)).cast("int")))
-    got = by_single_key(df, ["a", "b", "c", "d", "e"], words=["a", "b", "c", "d", "e"]).where("key_value is not null")
+    got = distinct_values(df, ["a", "b", "c", "d", "e"], ["a", "b", "c", "d", "e"])
     found = {r["key_name"]: r["n"] for r in got.groupBy("key_name").agg(F.sum("n_values").alias("n")).collect()}
     assert found == {c: df.select(c).where(F.col(c).isNotNull()).distinct().count() for c in df.columns}
 
 
 def test_dense_identifiers_shuffle_few_rows(spark):
     df = spark.range(64_000).select(F.col("id").alias("a"))
-    assert by_single_key(df, ["a"], words=["a"]).count() == 1000
+    assert distinct_values(df, ["a"], ["a"]).count() == 1000
 
 
 def test_distinct_counts_of_the_star(models):
