@@ -7,6 +7,8 @@ whole rows, which bounds the memory of a task by its longest text.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,12 +57,22 @@ _powers: dict[str, np.ndarray] = {}
 def _power(name: str, base: np.uint64, n: int) -> np.ndarray:
     have = _powers.get(name)
     if have is None or len(have) < n:
-        full = np.full(max(n, CHUNK), base, dtype=np.uint64)
+        full = np.full(max(n, CHUNK + 1), base, dtype=np.uint64)
         full[0] = 1
-        have = _powers[name] = np.cumprod(full, dtype=np.uint64)
+        have = np.cumprod(full, dtype=np.uint64)
+        if len(have) == CHUNK + 1:  # those of a longer text don't stay
+            _powers[name] = have
     return have[:n]
 
 
+def release() -> None:
+    """Give free memory back to the system: a worker outlives its task, and
+    what one stage has freed would count against the next."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # not in every C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def span_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of ``values[start:end]`` for each span (prefix sums of a
     polynomial, shifted back by the inverse power)."""
@@ -95,6 +107,7 @@ def chunks(array: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, int, np.nd
         to = min(n, max(to, at + 1))
         yield at, to, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
         at = to
+    release()
 
 
 class Words:
