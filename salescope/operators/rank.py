@@ -1,9 +1,9 @@
 """Rankings: top-k agents, revenue rank, quartile tiers.
 
 Every ordering carries the agent name as a tie-breaker, so results do not
-depend on partitioning.  Ranks and tiles over agents use the distributed
-global window by default (agents grow with the data); ``strategy='window'``
-gives the plain single-partition window.
+depend on partitioning.  Agents grow with the data, so by default ranks over
+them use the distributed global window and tiles the selection of the rows that
+end them; ``strategy='window'`` gives the plain single-partition window.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salescope.functions.kpi import pct
-from salescope.operators.global_window import global_ntile, global_rank
+from salescope.operators.global_window import global_rank
+from salescope.operators.selection import ntile_by_selection
 from salescope.operators.share import with_share
 from salescope.plans.model import WON, CrmModel
 
@@ -64,4 +65,4 @@ def agent_tier(model: CrmModel, tiles: int = 4, strategy: str = "distributed") -
     order = [F.col("total_revenue").desc(), F.col("sales_agent").asc()]
     if strategy == "window":
         return shares.withColumn("performance_tier", F.ntile(tiles).over(Window.orderBy(*order)))
-    return global_ntile(shares, tiles, order, "performance_tier")
+    return ntile_by_selection(shares, tiles, ["total_revenue", "sales_agent"], [False, True], "performance_tier")

@@ -8,8 +8,8 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salescope.operators.global_window import global_ntile
 from salescope.operators.rank import agent_revenue
+from salescope.operators.selection import ntile_by_selection
 from salescope.plans.model import WON, CrmModel
 
 # The four agent segments, best quartile first; the suffixes of
@@ -37,12 +37,11 @@ def agent_segment(
     if strategy == "window":
         spec = Window.partitionBy(is_outlier).orderBy(*order) if apart else Window.orderBy(*order)
         tiled = ranked.withColumn("__tile", F.ntile(4).over(spec))
-    elif apart:
-        # the outlier takes no place among the others; its label is fixed
-        counted = ranked.withColumn("__take", F.when(is_outlier, 0).otherwise(1))
-        tiled = global_ntile(counted, 4, order, "__tile", weight="__take")
     else:
-        tiled = global_ntile(ranked, 4, order, "__tile")
+        # an outlier left out takes no place among the others; its label is fixed
+        tiled = ntile_by_selection(
+            ranked, 4, ["total_revenue", "sales_agent"], [False, True], "__tile", takes=~is_outlier if apart else None
+        )
     label = F.when(F.col("sales_agent") == F.lit(outlier), F.lit(AGENT_SEGMENTS[0])) if outlier else None
     for tile, name in enumerate(AGENT_SEGMENTS[:3], start=1):
         cond = F.col("__tile") == tile
