@@ -4,14 +4,18 @@
         --products products.csv --accounts accounts.csv \\
         --home "Homeland" --focal-agent "Some Agent" --threshold 400000 \\
         --out /shared/salescope/results [--analyses a,b] [--format parquet] \\
-        [--repair product:BAD=GOOD] [--snapshot /shared/salescope/deals] [--fail-on-fk]
+        [--repair product:BAD=GOOD] [--snapshot /shared/salescope/deals [--refresh]] \\
+        [--fail-on-fk] [--largest-shuffle-gb 25000]
 
 (``python -m salescope ...`` works the same in local mode.)  Each analysis is
 written to ``<out>/<name>``; nothing is collected to the driver.  With
 ``--snapshot`` the denormalised deal frame is written once (partitioned by
 stage) and every analysis reads it instead of joining the dimensions again.
 ``--fail-on-fk`` exits with status 2 when a deal references a missing agent,
-product or account (after repairs).
+product or account (after repairs); with ``--snapshot`` the pass that writes it
+counts them, and nothing is published.  ``--refresh`` writes only the partitions
+of the snapshot that changed.  ``--largest-shuffle-gb`` sizes shuffle partitions,
+file splits and the broadcast threshold (``plans.session.cluster_conf``).
 """
 
 from __future__ import annotations
@@ -23,7 +27,8 @@ import sys
 from pyspark.sql import SparkSession
 
 from salescope.operators.quality import fk_violations, repair_values
-from salescope.plans.snapshot import from_snapshot, write_snapshot
+from salescope.plans.session import cluster_conf
+from salescope.plans.snapshot import UnmatchedKeys, from_snapshot, refresh_snapshot, write_snapshot
 from salescope.registry import Params, analyses
 from salescope.sources.crm import (
     ACCOUNTS_SCHEMA,
@@ -50,13 +55,19 @@ def parse(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--analyses", default="", help="comma-separated names (default: all)")
     ap.add_argument("--repair", action="append", default=[], help="COLUMN:BAD=GOOD, applied to the deals")
     ap.add_argument("--snapshot", default=None, help="folder for the materialised deal frame")
+    ap.add_argument("--refresh", action="store_true", help="write only the snapshot's changed partitions")
     ap.add_argument("--fail-on-fk", action="store_true")
+    ap.add_argument("--largest-shuffle-gb", type=int, default=None, help="size the session's SQL settings by it")
     return ap.parse_args(argv)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = parse(sys.argv[1:] if argv is None else argv)
     spark = spark or SparkSession.builder.appName("salescope").getOrCreate()
+    if args.largest_shuffle_gb is not None:
+        for key, value in cluster_conf(args.largest_shuffle_gb << 30).items():
+            if key.startswith("spark.sql."):  # the others are fixed when a session starts
+                spark.conf.set(key, value)
 
     sales = read_table(spark, args.sales, SALES_SCHEMA, args.format)
     repairs: dict[str, dict[str, str]] = {}
@@ -73,13 +84,18 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         read_table(spark, args.accounts, ACCOUNTS_SCHEMA, args.format),
     )
 
-    if args.fail_on_fk and fk_violations(model).limit(1).count() > 0:
-        print(json.dumps({"error": "foreign-key violations; run the fk_violations analysis"}))
-        return 2
-
+    broken = json.dumps({"error": "foreign-key violations; run the fk_violations analysis"})
     if args.snapshot:
-        write_snapshot(model, args.snapshot)
+        write = refresh_snapshot if args.refresh else write_snapshot
+        try:
+            write(model, args.snapshot, fail_on_unmatched=args.fail_on_fk)
+        except UnmatchedKeys:
+            print(broken)
+            return 2
         model = from_snapshot(spark, args.snapshot, model)
+    elif args.fail_on_fk and not fk_violations(model).isEmpty():
+        print(broken)
+        return 2
 
     params = Params(
         home=args.home,

@@ -17,6 +17,10 @@ from salescope.plans.model import WON, CrmModel
 AGENT_SEGMENTS = ("Top Performer", "Strong Performer", "Developing Performer", "Needs Improvement")
 ACCOUNT_SEGMENTS = (" VIP", " Emerging", " Regular")
 
+#: Largest numerator and denominator of ``k`` in :func:`account_segment`; its
+#: square is a factor of exact integers of 38 digits.
+MAX_TERM = 10_000
+
 
 def agent_segment(
     model: CrmModel,
@@ -55,14 +59,15 @@ def account_segment(
     home: str,
     home_label: str | None = None,
     other_label: str | None = None,
-    k: float = 1.0,
+    k: float | str | Fraction = 1.0,
 ) -> DataFrame:
     """``(account, office_location, won_deals, customer_segment)``.
 
     Accounts are split into the home region and the rest (no location counts
     as the rest).  Inside a region: VIP when won deals >= avg + k * stdev,
     Emerging when <= avg - k * stdev, else Regular (sample stdev; a region of
-    one account has none and is all Regular).  The per-region statistics are
+    one account has none and is all Regular).  ``k`` is taken exactly as it is
+    written (0.0003 is 3/10000); one that needs larger terms raises.  The per-region statistics are
     two rows, broadcast to the accounts.
     """
     home_label = home_label or home
@@ -84,7 +89,9 @@ def account_segment(
         F.sum("won_deals").cast("decimal(38,0)").alias("s1"),
         F.sum((F.col("won_deals") * F.col("won_deals")).cast("decimal(28,0)")).cast("decimal(38,0)").alias("s2"),
     )
-    times = Fraction(k).limit_denominator(1000)
+    times = Fraction(str(k))
+    if times < 0 or max(times.numerator, times.denominator) > MAX_TERM:
+        raise ValueError(f"k must be a fraction of non-negative integers up to {MAX_TERM}, got {k}")
     whole = lambda c: c.cast("decimal(38,0)")
     n, s1, s2 = F.col("n"), F.col("s1"), F.col("s2")
     d = whole(whole(n * won) - s1)

@@ -221,8 +221,12 @@ class CrmModel:
         self,
         columns: Sequence[str] = FULL_SALES_COLUMNS,
         stages: Sequence[str] | None = None,
+        matched: Mapping[str, str] | None = None,
     ) -> DataFrame:
-        """Deal frame with ``columns``, joining only the dimensions they need."""
+        """Deal frame with ``columns``, joining only the dimensions they need.
+        ``matched``: dimension -> name of a boolean column, whether the deal's
+        key has a row there."""
+        matched = dict(matched or {})
         columns = list(columns)
         fact = self.fact(stages)
         fact_columns = set(fact.columns)
@@ -233,9 +237,12 @@ class CrmModel:
                 wanted.setdefault(d.name, []).append(c)
         out = fact
         for d in self.dims:
-            if d.name in wanted:
-                out = out.join(self._dim_side(d, wanted[d.name]), on=d.key, how="left")
-        return out.select(*columns)
+            if d.name in wanted or d.name in matched:
+                side = self._dim_side(d, wanted.get(d.name, []))
+                if d.name in matched:
+                    side = side.withColumn(matched[d.name], F.lit(True))
+                out = out.join(side, on=d.key, how="left")
+        return out.select(*columns, *[F.coalesce(c, F.lit(False)).alias(c) for c in matched.values()])
 
     @staticmethod
     def _dim_side(d: Dimension, columns: Sequence[str]) -> DataFrame:

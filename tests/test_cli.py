@@ -37,7 +37,11 @@ def test_cli_writes_every_analysis(spark):
         "--out", os.path.join(folder, "out"),
     ]
     assert main(args + ["--fail-on-fk"], spark=spark) == 2  # the fixture has a ghost agent
-    assert main(args + ["--snapshot", os.path.join(folder, "deals")], spark=spark) == 0
+    assert main(args + ["--fail-on-fk", "--snapshot", os.path.join(folder, "refused")], spark=spark) == 2
+    assert not os.path.exists(os.path.join(folder, "refused"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    assert main(args + ["--snapshot", os.path.join(folder, "deals"), "--refresh"], spark=spark) == 0
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
     out = os.path.join(folder, "out")
     assert set(os.listdir(out)) == set(analysis_names(STAR_PARAMS))
     shares = rows(spark.read.parquet(os.path.join(out, "series_share")))

@@ -9,6 +9,9 @@ from decimal import ROUND_HALF_UP, Decimal
 import duckdb
 from pyspark.sql import functions as F
 
+import pytest
+
+from salescope.operators.segment import account_segment
 from salescope import oracle
 from salescope.functions.kpi import int_div, pct, ratio
 from salescope.operators.report import growth_pct
@@ -70,3 +73,15 @@ def test_tsql_avg_truncates_and_skips_nulls(spark):
     df = spark.createDataFrame([(1, 7), (1, 8), (1, None), (2, -7), (2, -8), (3, None)], "g int, v long")
     got = {r.g: r.a for r in df.groupBy("g").agg(tsql_avg("v").alias("a")).collect()}
     assert got == {1: 7, 2: -7, 3: None}  # 15/2 -> 7, -15/2 -> -7 (toward zero), no values -> NULL
+
+
+def test_k_of_account_segment_is_exact(crm):
+    for k in (0.0003, "1/3", 2):
+        assert account_segment(crm, "Homeland", k=k).count() > 0
+    # every account off the average lies outside tiny bounds, which 0 would not tell from none
+    tiny = {r[0]: r[3] for r in account_segment(crm, "Homeland", k=0.0003).collect()}
+    plain = {r[0]: r[3] for r in account_segment(crm, "Homeland", k=0).collect()}
+    assert tiny.keys() == plain.keys()
+    for bad in (-1, 0.123456789, float("nan")):
+        with pytest.raises(ValueError):
+            account_segment(crm, "Homeland", k=bad)
