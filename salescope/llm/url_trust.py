@@ -24,6 +24,8 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Host part of absolute links in attributes.
 LINK = r"""(?i)\s(?:href|src|action|cite)\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s<>]+)"""
 
+_BY_RULE, _DISTRUSTED = "__by_rule", "__distrusted"
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -100,21 +102,23 @@ def judge_urls(pages: DataFrame, rules: list[Rule], damping: float = 0.85, round
     the longest wins and gives the verdict.  Else the host is blocked if
     ``distrust - trust >= threshold * pages`` of its propagated seeds (rounded
     to six places).  A url without a host has no evidence and is allowed.  A
-    null html has no links.  The new columns replace columns of their names.
+    null html has no links.  The new columns replace columns of their names; all
+    other columns stay, whatever their names.  Repeated rows count as pages each; an
+    empty table gives no rows.
     """
     host, path = split_url(F.col("url"))
-    plain = pages.drop("host", "path", "rule", "verdict", "by_rule").withColumns({"host": host, "path": path})
+    plain = pages.drop("host", "path", "rule", "verdict").withColumns({"host": host, "path": path})
     name, verdict = _by_rule(rules, F.col("host"), F.col("path"))
-    ruled = plain.withColumns({"rule": name, "by_rule": verdict})
+    ruled = plain.withColumns({"rule": name, _BY_RULE: verdict})
     # one scan of the HTML; the graph and its seeds are far smaller
     edges = materialise(host_edges(ruled.select("host", "html")), "edges")
-    allowed, blocked = (F.sum(F.when(F.col("by_rule") == v, 1).otherwise(0)) for v in ("allow", "block"))
+    allowed, blocked = (F.sum(F.when(F.col(_BY_RULE) == v, 1).otherwise(0)) for v in ("allow", "block"))
     hosts = materialise(ruled.where("host <> ''").groupBy("host").agg(F.count(F.lit(1)).alias("n"), allowed.alias("good"), blocked.alias("bad")), "hosts")
     seeds = hosts.select(F.lit(0).alias("kind"), F.col("host").alias("node"), F.col("good").cast("double").alias("s"))
     seeds = seeds.unionByName(hosts.select(F.lit(1).alias("kind"), F.col("host").alias("node"), F.col("bad").cast("double").alias("s")))
     ranks = propagate(edges, seeds, damping, rounds).groupBy("node").agg(F.sum(F.when(F.col("kind") == 1, F.col("x")).otherwise(-F.col("x"))).alias("net"))
     of_host = hosts.join(ranks, hosts["host"] == ranks["node"], "left").select(
-        "host", (F.round(F.coalesce("net", F.lit(0.0)) / F.col("n"), 6) >= threshold).alias("distrusted")
+        "host", (F.round(F.coalesce("net", F.lit(0.0)) / F.col("n"), 6) >= threshold).alias(_DISTRUSTED)
     )
-    found = F.when(F.coalesce("distrusted", F.lit(False)), F.lit("block")).otherwise(F.lit("allow"))
-    return ruled.drop("html").join(of_host, "host", "left").withColumn("verdict", F.coalesce("by_rule", found)).drop("by_rule", "distrusted")
+    found = F.when(F.coalesce(_DISTRUSTED, F.lit(False)), F.lit("block")).otherwise(F.lit("allow"))
+    return ruled.drop("html").join(of_host, "host", "left").withColumn("verdict", F.coalesce(_BY_RULE, found)).drop(_BY_RULE, _DISTRUSTED)

@@ -121,3 +121,12 @@ def test_no_python_on_the_executors(spark):
     df = spark.createDataFrame(PAGES, "page_id long, url string, html string")
     plan = judge_urls(df, URL_RULES)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_own_columns_stay(spark):
+    names = ("distrusted", "by_rule", "node", "x", "net", "n", "kind", "good", "bad")
+    rows = [(*p, *[f"{n}{i}" for n in names]) for i, p in enumerate(PAGES)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, " + ", ".join(f"{n} string" for n in names))
+    out = judge_urls(df, URL_RULES)
+    assert got(out) == brute(PAGES, URL_RULES)
+    assert sorted(tuple(r) for r in out.select(*names).collect()) == sorted(r[3:] for r in rows)
