@@ -3,9 +3,11 @@ thresholds inside home / non-home regions."""
 
 from __future__ import annotations
 
+from decimal import Decimal
 from fractions import Fraction
+from math import isqrt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salescope.operators.rank import agent_revenue
@@ -17,10 +19,6 @@ from salescope.plans.model import WON, CrmModel
 AGENT_SEGMENTS = ("Top Performer", "Strong Performer", "Developing Performer", "Needs Improvement")
 ACCOUNT_SEGMENTS = (" VIP", " Emerging", " Regular")
 
-#: Largest numerator and denominator of ``k`` in :func:`account_segment`; its
-#: square is a factor of exact integers of 38 digits.
-MAX_TERM = 10_000
-
 
 def agent_segment(
     model: CrmModel,
@@ -54,6 +52,28 @@ def agent_segment(
     return tiled.select("sales_agent", "total_revenue", label.alias("agent_segment"))
 
 
+def _least_distance(k: Fraction) -> Column:
+    """The least ``x`` for which an account whose ``n * won - sum`` is ``x`` or
+    more is ``k`` standard deviations or more over the average, from a region's
+    ``n``, ``s1`` (sum) and ``s2`` (sum of squares).
+
+    That is ``x ** 2 * (n - 1) >= k ** 2 * n * (n * s2 - s1 ** 2)``.  Either side
+    outgrows the 38 digits of a decimal at some 10**10 accounts, so the root is
+    taken with Python's integers, on one row for each region.
+    """
+    if k < 0:
+        raise ValueError(f"k must not be negative, got {k}")
+
+    def least(n, s1, s2):
+        n, s1, s2 = int(n), int(s1), int(s2)
+        if n < 2:
+            return None
+        square = -(-(k.numerator**2 * n * (n * s2 - s1 * s1)) // (k.denominator**2 * (n - 1)))
+        return Decimal(isqrt(square - 1) + 1 if square else 0)
+
+    return F.udf(least, "decimal(38,0)")("n", "s1", "s2")
+
+
 def account_segment(
     model: CrmModel,
     home: str,
@@ -67,8 +87,9 @@ def account_segment(
     as the rest).  Inside a region: VIP when won deals >= avg + k * stdev,
     Emerging when <= avg - k * stdev, else Regular (sample stdev; a region of
     one account has none and is all Regular).  ``k`` is taken exactly as it is
-    written (0.0003 is 3/10000); one that needs larger terms raises.  The per-region statistics are
-    two rows, broadcast to the accounts.
+    written (0.0003 is 3/10000); negative and infinite ones raise.  The bounds
+    are exact integers at any size (see :func:`_least_distance`), one row for
+    each of the two regions, broadcast to the accounts.
     """
     home_label = home_label or home
     other_label = other_label or f"Non-{home}"
@@ -80,32 +101,23 @@ def account_segment(
             F.when(F.col("office_location") == F.lit(home), F.lit(home_label)).otherwise(F.lit(other_label)),
         )
     )
-    # the bounds in exact integers: with n accounts, d = n * won - sum and
-    # v = n * (n * sum of squares - sum ** 2), won is k stdev off the average
-    # where d ** 2 * (n - 1) >= k ** 2 * v
-    won = F.col("won_deals").cast("decimal(38,0)")
+    won = F.col("won_deals").cast("decimal(19,0)")
     stats = counts.groupBy("region").agg(
         F.count(F.lit(1)).cast("decimal(38,0)").alias("n"),
-        F.sum("won_deals").cast("decimal(38,0)").alias("s1"),
-        F.sum((F.col("won_deals") * F.col("won_deals")).cast("decimal(28,0)")).cast("decimal(38,0)").alias("s2"),
+        F.sum(won).cast("decimal(38,0)").alias("s1"),
+        F.sum((won * won).cast("decimal(38,0)")).cast("decimal(38,0)").alias("s2"),
     )
-    times = Fraction(str(k))
-    if times < 0 or max(times.numerator, times.denominator) > MAX_TERM:
-        raise ValueError(f"k must be a fraction of non-negative integers up to {MAX_TERM}, got {k}")
+    bounds = stats.select("region", "n", "s1", _least_distance(Fraction(str(k))).alias("least"))
     whole = lambda c: c.cast("decimal(38,0)")
-    n, s1, s2 = F.col("n"), F.col("s1"), F.col("s2")
-    d = whole(whole(n * won) - s1)
-    spread = whole(n * whole(whole(n * s2) - whole(s1 * s1)))
-    far = (n > 1) & (
-        whole(whole(d * d) * whole(n - 1)) * F.lit(times.denominator**2) >= spread * F.lit(times.numerator**2)
-    )
+    d = whole(F.col("n") * won) - F.col("s1")
+    far = F.col("n") > 1
     segment = (
-        F.when(far & (d >= 0), F.concat(F.col("region"), F.lit(ACCOUNT_SEGMENTS[0])))
-        .when(far & (d <= 0), F.concat(F.col("region"), F.lit(ACCOUNT_SEGMENTS[1])))
+        F.when(far & (d >= F.col("least")), F.concat(F.col("region"), F.lit(ACCOUNT_SEGMENTS[0])))
+        .when(far & (d <= -F.col("least")), F.concat(F.col("region"), F.lit(ACCOUNT_SEGMENTS[1])))
         .otherwise(F.concat(F.col("region"), F.lit(ACCOUNT_SEGMENTS[2])))
     )
     return (
-        counts.join(F.broadcast(stats), "region")
+        counts.join(F.broadcast(bounds), "region")
         .select("account", "office_location", "won_deals", segment.alias("customer_segment"))
         .orderBy("customer_segment", "won_deals", "account")
     )

@@ -141,6 +141,11 @@ def distinct_values(df: DataFrame, columns: Sequence[str], words: Sequence[str]
     return found.select(name.alias("key_name"), F.coalesce(F.col("num").cast("string"), "txt").alias("key_value"), "n_values")
 
 
+def merged(rows: DataFrame, by: Sequence[str], which: Sequence[str]) -> DataFrame:
+    """Measures summed up anew by ``by``."""
+    return rows.groupBy(*by).agg(*[_MEASURES[m][1](m).alias(m) for m in which])
+
+
 @dataclass(frozen=True, eq=False)
 class CrmModel:
     """Fact builder plus dimensions.
@@ -338,6 +343,18 @@ class CrmModel:
         close month); they are computed before the first aggregation.
         Output: the ``by`` columns, then one column per measure in ``which``.
         """
+        rows, done = self._labelled(by, which, stages, derived)
+        return rows if done else merged(rows, by, which)
+
+    def _labelled(
+        self,
+        by: Sequence[str],
+        which: Sequence[str],
+        stages: Sequence[str] | None,
+        derived: Mapping[str, Column] | None,
+    ) -> tuple[DataFrame, bool]:
+        """The measures by key with the labels of ``by``, and whether they are
+        final: without a dimension there is one row for each group."""
         derived = dict(derived or {})
         unknown = [m for m in which if m not in _MEASURES]
         if unknown:
@@ -373,9 +390,9 @@ class CrmModel:
         else:
             partial = fact.groupBy(*first_keys).agg(*[_MEASURES[m][0]().alias(m) for m in which])
         if not dims:
-            return partial.select(*by, *which)
+            return partial.select(*by, *which), True
         joined = partial
         for d in dims:
             needed = [c for c in by if c in d.provides and c not in first_names]
             joined = joined.join(self._dim_side(d, needed), on=d.key, how="left")
-        return joined.groupBy(*by).agg(*[_MEASURES[m][1](m).alias(m) for m in which])
+        return joined.select(*by, *which), False
