@@ -2,9 +2,9 @@
 
 Two multinomials over words and word pairs (64-bit hashes, none sharing a
 bucket) are counted: the raw corpus (every document) and the trusted target
-(documents labelled good; a bounded sample of those labels).  A document's
-score is the mean over its features of ``log p_target - log p_raw``, so it
-doesn't grow with length.  A feature that the target lacks has the same ratio
+(every document labelled good and never bad).  A document's score is the mean
+over its features of ``log p_target - log p_raw``, so it doesn't grow with
+length.  A feature that the target lacks has the same ratio
 whatever its raw count, so raw counts are kept for the target's features alone,
 which loses nothing; the number of distinct features of the whole corpus, for
 the smoothing, is estimated by a HyperLogLog sketch.  The counts are held in
@@ -17,29 +17,35 @@ trusted documents' own (cross-fitted) scores, less ``margin``.
 
 from __future__ import annotations
 
+import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from salescope.llm.store import read_bytes, shared_folder, write_bytes
+from salescope.llm.store import materialise, read_bytes, shared_folder, write_bytes
 from salescope.llm.textops import SPACED, Words, chunks, mix, span_hash, table
+from salescope.operators.selection import rows_at
 
 SYMBOLS = table("#*$%&|<>")
 _ROW = np.uint64(0xA24BAED4963EE407)
-#: Features that a task holds before it sends their counts off.
-_BUFFER = 1 << 20
-#: Occurrences that a task counts before it sends them off (its counts have 32 bits).
-_MOST = 1 << 31
+#: Features that a task holds before it sums their counts; it sends them off
+#: when more than half as many are left.
+_BUFFER = 1 << 21
 #: Index bits of the sketch of distinct features.
 _HLL = 14
-#: Fan-in groups of the first of the two summing steps.
+#: Groups in which the tasks' sketches are merged, the rest on the driver.
 _FAN = 64
+#: Bytes of text for each slice of the features, and the least slices.
+_SLICE, _LEAST = 1 << 26, 16
+#: Ids of the target that are broadcast; more are joined by a shuffle.
+_BROADCAST = 1 << 20
 
 METRICS = {
     "n_words": "long",
@@ -93,10 +99,11 @@ class QualityModel:
     def weights(self, hashes: np.ndarray) -> np.ndarray:
         """Ratios of sorted ``hashes``, a row for each fold."""
         if "_held" not in self.__dict__:
-            self.__dict__["_held"] = [read_bytes(name).view(np.float32).reshape(2, -1) for name in self.ratios]
+            self.__dict__["_held"] = [_unpacked_ratios(read_bytes(name)) for name in self.ratios]
         out = np.repeat(self.other[:, None], len(hashes), axis=1)
         for i, at, spot in self.features.found(hashes):
-            out[:, at] = self._held[i][:, spot]
+            pairs, codes = self._held[i]
+            out[:, at] = pairs[codes[spot]].T
         return out
 
 
@@ -145,6 +152,53 @@ def _unpacked(packed: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(packed[1:]), dtype=f"u{packed[0]}").reshape(2, -1).astype(np.int64)
 
 
+def _sent(held: list[_Counts], fresh: _Counts) -> tuple[list[_Counts], list[_Counts]]:
+    """What a task holds after ``fresh``, and what it sends off."""
+    held = [*held, fresh] if len(fresh[0]) else held
+    if sum(len(h) for h, _ in held) > _BUFFER:
+        held = [_summed(held)]
+        if len(held[0][0]) > _BUFFER // 2:
+            return [], held
+    return held, []
+
+
+def _packed_ratios(ratio: np.ndarray) -> list[bytes]:
+    """Number of the distinct pairs of both folds' ratios (rare features share
+    their counts, so they are few), the pairs, and each feature's pair."""
+    pairs, codes = np.unique(np.ascontiguousarray(ratio.T).view(np.uint64)[:, 0], return_inverse=True)
+    return [np.int64(len(pairs)).tobytes(), pairs.tobytes(), codes.astype(np.min_scalar_type(len(pairs) - 1)).tobytes()]
+
+
+def _unpacked_ratios(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    n = int(packed[:8].view(np.int64)[0])
+    return packed[8 : 8 + 8 * n].view(np.float32).reshape(-1, 2), packed[8 + 8 * n :].view(np.min_scalar_type(n - 1))
+
+
+def _packed_keys(keys: np.ndarray, base: int) -> bytes:
+    """Sorted keys from ``base`` on: their differences, in the least bytes that hold them."""
+    steps = np.diff(keys, prepend=np.uint64(base))
+    width = max(1, (int(steps.max()).bit_length() + 7) // 8)
+    return bytes([width]) + zlib.compress(steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes(), 1)
+
+
+def _unpacked_keys(packed: bytes, base: int) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(packed[1:]), dtype=np.uint8).reshape(packed[0], -1)
+    steps = np.zeros((planes.shape[1], 8), dtype=np.uint8)
+    steps[:, : packed[0]] = planes.T
+    return np.cumsum(steps.view("<u8")[:, 0], dtype=np.uint64) + np.uint64(base)
+
+
+def _cut(counts: _Counts, bases: list[int]) -> Iterator[pa.RecordBatch]:
+    """A batch for each range of keys that holds some; ranges start at ``bases``."""
+    keys, n = counts
+    ends = [*np.searchsorted(keys, np.array(bases, dtype=np.uint64)), len(keys)]
+    for i, base in enumerate(bases):
+        a, b = ends[i], ends[i + 1]
+        if b > a:
+            columns = [pa.array([i], pa.int32()), pa.array([_packed_keys(keys[a:b], base)], pa.binary()), pa.array([_packed(n[:, a:b])], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["slice", "hashes", "counts"])
+
+
 def _sketched(registers: np.ndarray, hashes: np.ndarray) -> None:
     """Add hashes to the registers of a HyperLogLog sketch."""
     rest = (hashes << np.uint64(_HLL)) >> np.uint64(12)  # 52 bits: exact as a float
@@ -199,134 +253,143 @@ def base_metrics(data: np.ndarray, offsets: np.ndarray, words: Words) -> dict[st
     return {k: v.astype(np.int64) for k, v in out.items()}
 
 
-def _trusted(labels: DataFrame, limit: int) -> DataFrame:
-    """Ids labelled good and never bad, at most ``limit``, picked by hash."""
+def _trusted(labels: DataFrame) -> DataFrame:
+    """Ids of all documents labelled good and never bad."""
     return (
         labels.where("doc_id is not null")
         .groupBy("doc_id")
         .agg(F.min("quality").alias("quality"))
         .where("quality = 1")
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(limit)
         .select(F.col("doc_id").alias("_trusted_id"))
     )
 
 
-def _target_slices(sample: DataFrame, folder: str, slices: int) -> list[Row]:
-    """Count the features of ``sample`` and write them to ``folder``, one file
+def _target(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents labelled good: ids and texts, every row of an id.  Up to
+    ``_BROADCAST`` ids go to the texts; beyond that the texts are shuffled,
+    once, and written for both of their readers."""
+    ids = materialise(_trusted(labels), "trusted")
+    few = ids.count() <= _BROADCAST
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("_trusted_id"), "left_semi")
+    return rows if few else materialise(rows, "target")
+
+
+def _slices(docs: DataFrame) -> int:
+    """How many slices the features are cut into: a power of two that grows
+    with the texts, so that a slice and the parts it is summed from don't."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(_LEAST, 1 << max(0, math.ceil(size / _SLICE) - 1).bit_length())
+
+
+def _target_slices(trusted: DataFrame, folder: str, slices: int) -> list[Row]:
+    """Count the features of ``trusted`` and write them to ``folder``, one file
     for each range of hashes: the sorted hashes, then both folds' counts.  The
     files' names, sizes and sums are returned, one row for each."""
-    shift = np.uint64(64 - (slices - 1).bit_length())
-
-    def send(held: list[_Counts]) -> Iterator[pa.RecordBatch]:
-        hashes, counts = _summed(held)
-        ends = np.searchsorted(hashes >> shift, np.arange(slices + 1, dtype=np.uint64)) if slices > 1 else [0, len(hashes)]
-        for i in range(slices):
-            a, b = ends[i], ends[i + 1]
-            if b > a:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([i], pa.int32()), pa.array([hashes[a:b].tobytes()]), pa.array([_packed(counts[:, a:b])])], names=["slice", "hashes", "counts"]
-                )
+    bases = [i << 64 - (slices - 1).bit_length() for i in range(slices)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[_Counts] = []
         for batch in batches:
             for _, _, data, offsets in chunks(batch.column(1)):
                 hashes, rows = _features(Words(data, offsets, SPACED))
-                held.append(_counted(hashes, _folds(data, offsets)[rows]))
-                if sum(len(h) for h, _ in held) > _BUFFER:
-                    yield from send(held)
-                    held = []
+                held, sent = _sent(held, _counted(hashes, _folds(data, offsets)[rows]))
+                for part in sent:
+                    yield from _cut(part, bases)
         if held:
-            yield from send(held)
+            yield from _cut(_summed(held), bases)
 
     def merge(group: pd.DataFrame) -> pd.DataFrame:
-        hashes, counts = _summed([(np.frombuffer(h, dtype=np.uint64), _unpacked(c)) for h, c in zip(group["hashes"], group["counts"], strict=True)])
+        base = bases[group["slice"].iloc[0]]
+        hashes, counts = _summed([(_unpacked_keys(h, base), _unpacked(c)) for h, c in zip(group["hashes"], group["counts"], strict=True)])
         name = write_bytes(f"{folder}/target", [hashes.data, _packed(counts)])
         return pd.DataFrame({"slice": group["slice"].iloc[:1], "target": [name], "size": [len(hashes)], "n0": [counts[0].sum()], "n1": [counts[1].sum()]})
 
-    parts = sample.mapInArrow(count, "slice int, hashes binary, counts binary")
+    parts = trusted.mapInArrow(count, "slice int, hashes binary, counts binary")
     return sorted(parts.groupBy("slice").applyInPandas(merge, "slice int, target string, size long, n0 long, n1 long").collect())
 
 
 def _raw_slices(docs: DataFrame, features: Features, folder: str) -> tuple[dict[int, str], np.ndarray, float]:
     """Count the features over all of ``docs``: the files of the counts by
-    slice, the folds' totals of all features, and the number of distinct ones."""
-
-    def send(sums: list[np.ndarray], registers: np.ndarray, total: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for i, told in ((-1, registers.tobytes() + total.tobytes()), *((i, None) for i in range(len(sums)))):
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([told or _packed(sums[i])], pa.binary())], names=["slice", "counts"])
-            if i >= 0:
-                sums[i][:] = 0
-        total[:] = 0
+    slice, the folds' totals of all features, and the number of distinct ones.
+    A task sends the counts of the features that its texts hold, by their
+    numbers among ``features``; sketches and totals go as slices below 0."""
+    starts = [0, *np.cumsum(features.sizes).tolist()]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = [np.zeros((2, n), dtype=np.uint32) for n in features.sizes]
+        held: list[_Counts] = []
         registers, total = np.zeros(1 << _HLL, dtype=np.uint8), np.zeros(2, dtype=np.int64)
         for batch in batches:
             for _, _, data, offsets in chunks(batch.column(0)):
                 hashes, rows = _features(Words(data, offsets, SPACED))
-                if total.sum() + len(hashes) > _MOST:
-                    yield from send(sums, registers, total)
                 found, n = _counted(hashes, _folds(data, offsets)[rows])
                 _sketched(registers, found)
                 total += n.sum(axis=1)
-                for i, at, spot in features.found(found):
-                    sums[i][:, spot] += n[:, at].astype(np.uint32)
+                known = [(spot.astype(np.uint64) + np.uint64(starts[i]), n[:, at]) for i, at, spot in features.found(found)]
+                if known:
+                    held, sent = _sent(held, (np.concatenate([k for k, _ in known]), np.concatenate([c for _, c in known], axis=1)))
+                    for part in sent:
+                        yield from _cut(part, starts[:-1])
+        if held:
+            yield from _cut(_summed(held), starts[:-1])
         if total.any():
-            yield from send(sums, registers, total)
-
-    def summed(group: pd.DataFrame) -> bytes:
-        if group["slice"].iloc[0] >= 0:
-            total = _unpacked(group["counts"].iloc[0])
-            for c in group["counts"].iloc[1:]:
-                total += _unpacked(c)
-            return _packed(total)
-        split = [(c[: 1 << _HLL], c[1 << _HLL :]) for c in group["counts"]]
-        registers = np.max([np.frombuffer(r, dtype=np.uint8) for r, _ in split], axis=0)
-        return registers.tobytes() + np.sum([np.frombuffer(t, dtype=np.int64) for _, t in split], axis=0).tobytes()
+            place = -1 - TaskContext.get().partitionId() % _FAN
+            columns = [pa.array([place], pa.int32()), pa.array([registers.tobytes()], pa.binary()), pa.array([total.tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["slice", "hashes", "counts"])
 
     def merge(group: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"slice": group["slice"].iloc[:1], "counts": [summed(group)]})
+        i = group["slice"].iloc[0]
+        if i < 0:
+            registers, total = _merged_sketches(group["hashes"], group["counts"])
+            return pd.DataFrame({"slice": [i], "raw": [None], "registers": [registers.tobytes()], "total": [total.tobytes()]})
+        counts = np.zeros((2, features.sizes[i]), dtype=np.int64)
+        for h, c in zip(group["hashes"], group["counts"], strict=True):
+            counts[:, _unpacked_keys(h, 0)] += _unpacked(c)
+        return pd.DataFrame({"slice": [i], "raw": [write_bytes(f"{folder}/raw", [_packed(counts)])], "registers": [None], "total": [None]})
+
+    parts = docs.select("text").mapInArrow(count, "slice int, hashes binary, counts binary")
+    got = parts.groupBy("slice").applyInPandas(merge, "slice int, raw string, registers binary, total binary").collect()  # a row for each slice
+    told = [r for r in got if r["slice"] < 0]
+    registers, total = _merged_sketches([r["registers"] for r in told], [r["total"] for r in told])
+    return {r["slice"]: r["raw"] for r in got if r["slice"] >= 0}, total, _distinct(registers)
+
+
+def _merged_sketches(registers: Iterable[bytes], totals: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    most = np.max([np.frombuffer(r, dtype=np.uint8) for r in registers], axis=0)
+    return most, np.sum([np.frombuffer(t, dtype=np.int64) for t in totals], axis=0)
 
-    def write(group: pd.DataFrame) -> pd.DataFrame:
-        last = group["slice"].iloc[0] < 0
-        name = None if last else write_bytes(f"{folder}/raw", [summed(group)])
-        return pd.DataFrame({"slice": group["slice"].iloc[:1], "raw": [name], "told": [summed(group) if last else None]})
 
-    parts = docs.select("text").mapInArrow(count, "slice int, counts binary").withColumn("part", F.spark_partition_id() % _FAN)
-    halfway = parts.groupBy("slice", "part").applyInPandas(merge, "slice int, counts binary")
-    got = halfway.groupBy("slice").applyInPandas(write, "slice int, raw string, told binary").collect()  # a row for each slice
-    told = bytes(next(r["told"] for r in got if r["slice"] < 0))
-    distinct = _distinct(np.frombuffer(told[: 1 << _HLL], dtype=np.uint8))
-    return {r["slice"]: r["raw"] for r in got if r["slice"] >= 0}, np.frombuffer(told[1 << _HLL :], dtype=np.int64), distinct
+def _quantile(scores: DataFrame, q: float) -> float | None:
+    """``percentile_disc`` of the column ``score`` by exact selection: no task
+    holds the distinct scores."""
+    scores = materialise(scores.select(F.struct("score").alias("__key")), "scores")
+    n = scores.count()
+    place = max(1, math.ceil(n * q))
+    return rows_at(scores, [place])[place][0] if n else None
 
 
 def fit(
     docs: DataFrame,
     labels: DataFrame,
     prior: float = 0.5,
-    trusted_limit: int = 20_000,
     keep_quantile: float = 0.001,
     margin: float = 0.03,
     least_words: int = 50,
-    slices: int = 16,
+    slices: int | None = None,
 ) -> QualityModel:
     """Count the two multinomials and fix the threshold.
 
-    The raw corpus counts cover every document.  The target is fitted on at
-    most ``trusted_limit`` documents labelled good (ids picked by hash);
-    ``prior`` is the weight of the raw distribution in the target's smoothing.
-    Each task sums its documents' counts before anything is shuffled.  The
-    features, their counts and their ratios lie in the shared folder, cut by
-    hash into ``slices`` files (a power of two) that tasks write and map; the
-    driver gets their names and totals.  Without trusted documents the ratio
+    The raw corpus counts cover every document, the target's and the threshold
+    every document labelled good; ``prior`` is the weight of the raw
+    distribution in the target's smoothing.  Each task sums its documents'
+    counts before anything is shuffled.  The features, their counts and their
+    ratios lie in the shared folder, cut by hash into ``slices`` files (a power
+    of two, from the size of the texts unless given) that tasks write and map;
+    the driver gets their names and totals.  Without trusted documents the ratio
     is zero and nothing is rejected for it.
     """
-    ids = F.broadcast(_trusted(labels, trusted_limit))
-    sample = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("_trusted_id"), "left_semi")
+    trusted = _target(docs, labels)
     folder = shared_folder(docs.sparkSession, "quality")
-    target = _target_slices(sample, folder, slices)
+    target = _target_slices(trusted, folder, slices or _slices(docs))
     if not target:
         return QualityModel(Features([], []), [], np.zeros(2, np.float32), -np.inf)
     features = Features([r["target"] for r in target], [r["size"] for r in target])
@@ -345,7 +408,7 @@ def fit(
                     if goals[1 - k]:
                         p_raw = (seen[1 - k] + 1) / (total[1 - k] + distinct)
                         ratio[k] = np.log((goal[1 - k] / goals[1 - k] + prior * p_raw) / (1 + prior)) - np.log(p_raw)
-                names.append(write_bytes(f"{folder}/ratio", [ratio.data]))
+                names.append(write_bytes(f"{folder}/ratio", _packed_ratios(ratio)))
             yield pd.DataFrame({"slice": batch["slice"], "ratio": names})
 
     rows = [(i, r["target"], r["size"], raw[i]) for i, r in enumerate(target)]
@@ -353,9 +416,8 @@ def fit(
     named = {r["slice"]: r["ratio"] for r in table.mapInPandas(ratios, "slice int, ratio string").collect()}
     other = np.array([np.log(prior / (1 + prior)) if goals[1 - k] else 0.0 for k in (0, 1)], dtype=np.float32)
     model = QualityModel(features, [named[i] for i in range(len(rows))], other, -np.inf)
-    own = judge(sample, model).where(F.col("n_words") >= least_words)
-    low = own.agg(F.expr(f"percentile_disc({keep_quantile}) within group (order by score)")).first()[0]
-    return model if low is None else replace(model, threshold=float(low) - margin)
+    low = _quantile(judge(trusted, model).where(F.col("n_words") >= least_words), keep_quantile)
+    return model if low is None else replace(model, threshold=low - margin)
 
 
 def judge(docs: DataFrame, model: QualityModel) -> DataFrame:

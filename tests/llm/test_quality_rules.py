@@ -6,8 +6,10 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
+import salescope.llm.quality_rules as module
 from salescope.llm.quality_rules import fit, judge, quality_rules
 
 
@@ -121,3 +123,75 @@ def test_scores_against_exact_counts(spark):
     labels = spark.createDataFrame([(i, 1) for i in good], "doc_id long, quality int")
     got = {r.doc_id: r.score for r in quality_rules(df, labels).collect()}
     assert max(abs(got[i] - score(text)) for i, text in docs) < 0.02
+
+
+def test_every_trusted_document_counts(spark):
+    """More than the 20,000 that a sample of the labels once held; half of the
+    ids are labelled twice."""
+    draw = random.Random(7)
+    docs = [(i, " ".join(f"w{draw.randrange(3_000)}" for _ in range(8))) for i in range(22_000)]
+    good = {i for i, _ in docs if i % 20}
+
+    def features(text):
+        words = text.split()
+        return [*words, *zip(words, words[1:])]
+
+    raw, target = [Counter(), Counter()], [Counter(), Counter()]
+    for i, text in docs:
+        raw[zlib.crc32(text.encode()) & 1].update(features(text))
+        if i in good:
+            target[zlib.crc32(text.encode()) & 1].update(features(text))
+    distinct = len({*raw[0], *raw[1]})
+
+    def score(text):
+        k = 1 - (zlib.crc32(text.encode()) & 1)
+        n, t, total = raw[k].total() + distinct, target[k].total(), 0.0
+        for f in (found := features(text)):
+            p = (raw[k][f] + 1) / n
+            total += math.log((target[k][f] / t + 0.5 * p) / 1.5) - math.log(p)
+        return total / len(found)
+
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, 1) for i in good] + [(i, int(i in good)) for i, _ in docs[::2]], "doc_id long, quality int")
+    model = fit(df, labels, least_words=8)
+    got = {r.doc_id: r.score for r in judge(df, model).collect()}
+    assert max(abs(got[i] - score(text)) for i, text in docs) < 0.02
+    own = sorted(got[i] for i in good)
+    assert model.threshold == own[math.ceil(len(own) * 0.001) - 1] - 0.03
+
+
+def test_large_tables_give_the_same_scores(spark, corpus, monkeypatch):
+    """Ids beyond the broadcast, and more slices."""
+    docs, labels = corpus
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    want = fit(df, lab)
+    monkeypatch.setattr(module, "_BROADCAST", 0)
+    monkeypatch.setattr(module, "_SLICE", 1 << 10)
+    got = fit(df, lab)
+    assert len(got.features.names) > len(want.features.names) and got.threshold == want.threshold
+    scores = [sorted((r.doc_id, r.score) for r in judge(df, model).collect()) for model in (want, got)]
+    assert scores[0] == scores[1]
+
+
+def test_keys_and_ratios_come_back_as_packed():
+    for base, keys in ((0, [0]), (0, [0, 1, 255, 256, 2**64 - 1]), (7 << 61, [7 << 61, (7 << 61) + 5, 2**64 - 1]), (10, [11, 12, 13])):
+        assert module._unpacked_keys(module._packed_keys(np.array(keys, dtype=np.uint64), base), base).tolist() == keys
+    for n, values in ((5, 1), (1_000, 300), (80_000, 80_000)):
+        ratio = (np.arange(2 * n) % values).astype(np.float32).reshape(2, n)
+        pairs, codes = module._unpacked_ratios(np.frombuffer(b"".join(module._packed_ratios(ratio)), dtype=np.uint8))
+        assert (pairs[codes].T == ratio).all()
+
+
+def test_counts_sent_at_a_bound_are_whole(monkeypatch):
+    monkeypatch.setattr(module, "_BUFFER", 50)
+    draw = np.random.default_rng(5)
+    held, parts, want = [], [], Counter()
+    for top in (20, 1_000) * 10 + (20,):
+        hashes = draw.integers(0, top, 40).astype(np.uint64)
+        want.update(hashes.tolist())
+        held, sent = module._sent(held, module._counted(hashes, np.zeros(40, dtype=np.int64)))
+        parts += sent
+    assert len(parts) > 1 and held
+    keys, counts = module._summed([*parts, *held])
+    assert dict(zip(keys.tolist(), counts[0].tolist(), strict=True)) == want and not counts[1].any()
