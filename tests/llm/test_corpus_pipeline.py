@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import os
 import random
+import zlib
+
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from salescope.llm import store
@@ -69,3 +72,22 @@ def test_intermediate_tables_go(spark, tmp_path):
     assert found.count() == before
     kept = os.listdir(f"{store._folder(spark).removeprefix('file:')}/{left[0]}")
     assert [x.split("-")[0] for x in kept] == ["decontamination"]
+
+
+def test_quality_stage_learns_from_every_trusted_document(spark, tmp_path):
+    """24,000 trusted documents: 72 with mostly words of their own (they set the
+    threshold), and ten pairs whose words only the partner, of the other fold,
+    knows.  A pair with a partner that a sample leaves out would be rejected."""
+    own = F.expr("if(id < 72 and i < 31, concat('j', id, '_', i), concat('w', pmod(xxhash64(id, i), 200)))")
+    words = spark.range(24_000).select("id", F.explode(F.sequence(F.lit(0), F.lit(51))).alias("i")).withColumn("word", own)
+    most = words.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("i", "word"))).alias("w")).select(F.col("id").alias("doc_id"), F.array_join("w.word", " ").alias("text"))
+    pairs = []
+    for n in range(10):
+        text = " ".join(f"p{n}_{i}" for i in range(52))
+        other = next(o for m in range(99) if (zlib.crc32((o := f"{text} x{m}").encode()) ^ zlib.crc32(text.encode())) & 1)
+        pairs += [(30_000 + 2 * n, text), (30_001 + 2 * n, other)]
+    most.union(spark.createDataFrame(pairs, most.schema)).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic")).write.parquet(f"{tmp_path}/labels.parquet")
+    kept = {r.doc_id for r in corpus_pipeline.drop_low_quality(spark, docs, str(tmp_path)).collect()}
+    assert kept >= {i for i, _ in pairs}
