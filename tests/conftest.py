@@ -20,6 +20,12 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(autouse=True, scope="module")
+def nothing_kept(spark):
+    """Tables that queries of an earlier module keep don't enter this one's plans."""
+    spark.catalog.clearCache()
+
+
 @pytest.fixture(scope="session")
 def crm(spark):
     from tests.fixture_crm import build_model
